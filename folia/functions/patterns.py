@@ -6,9 +6,9 @@ definitions used by the text pipeline, so the classes are spelt out.
 
 # Every code point that counts as white space, in code point order.
 WHITESPACE_CHARS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 # Latin-1 characters are listed one by one: the regex engine then looks them up in a bit
 # set. The guard before the rest settles all other Latin-1 characters in one test.

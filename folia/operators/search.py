@@ -6,6 +6,7 @@ top-k sort. Similarities that agree to nine decimals count as equal, the lower i
 goes first; zero vectors (similarity NaN) come after all others, NULL vectors last.
 """
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -35,6 +36,11 @@ def best_first(similarity: str = "similarity", key: str = "id") -> list[Column]:
     ]
 
 
+def vector_from_json(text: str) -> list[float]:
+    """A query vector given as a JSON list."""
+    return [float(x) for x in json.loads(text)]
+
+
 def similarity_search(
     vectors: DataFrame,
     query: Sequence[float],
