@@ -14,6 +14,7 @@ from folia.operators.ids import with_dense_ids
 from folia.plans import batch
 from folia.session import scratch_path
 from folia.sources import index, objects, results, vectors
+from folia.sources.spread import spread
 from folia.streaming import notifications as notes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,7 +328,7 @@ def doc_metadata(spark, sf_dir):
     described = _cleaned(spark, sf_dir).select(
         "doc_id", meta.metadata(F.col("text"), F.lit("")).alias("m")
     )
-    return described.select("doc_id", "m.*")
+    return described.select("doc_id", "m.*").drop("extracted_at")
 
 
 # Chunking.
@@ -913,7 +914,8 @@ def read_index(spark, sf_dir):
 
 
 def _messages(spark, sf_dir):
-    return views.notifications(views.events(spark, sf_dir), views.files(spark, sf_dir))
+    listing = spread(views.files(spark, sf_dir), "doc_id")
+    return views.notifications(views.events(spark, sf_dir), listing)
 
 
 @register(

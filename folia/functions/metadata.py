@@ -67,7 +67,11 @@ def or_unknown(name: Column) -> Column:
 
 
 def metadata(text: Column, filename: Column) -> Column:
-    """The metadata record without its time stamp; the text is cut into words once."""
+    """The metadata record, stamped with the time of the query.
+
+    The text is cut into words once. The struct is built in one go: adding a field to it
+    later would make the optimizer repeat its costly expression for every field.
+    """
 
     def record(words: Column) -> Column:
         return F.struct(
@@ -78,6 +82,7 @@ def metadata(text: Column, filename: Column) -> Column:
             has_tables(text).alias("has_tables"),
             has_lists(text).alias("has_lists"),
             has_numbers(text).alias("has_numbers"),
+            F.current_timestamp().alias("extracted_at"),
             _language_of(words).alias("language"),
         )
 

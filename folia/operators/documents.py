@@ -86,9 +86,7 @@ def process(extracted: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "filename",
         F.length("raw").alias("raw_char_count"),
         F.length("cleaned").alias("cleaned_char_count"),
-        metadata(F.col("cleaned"), F.col("filename"))
-        .withField("extracted_at", F.current_timestamp())
-        .alias("metadata"),
+        metadata(F.col("cleaned"), F.col("filename")).alias("metadata"),
         "layout_chunks",
         texts.alias("texts"),
         "error",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from folia.config import Settings
+from folia.functions.binding import let
 from folia.functions.naming import is_pdf, object_uri
 from folia.operators.documents import NOT_EXTRACTED, process, succeeded
 from folia.plans.batch import materialise
@@ -36,23 +37,34 @@ def unwrap(messages: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Add ``body``; messages that are empty or cannot be decoded are dropped."""
-    body = F.from_json(_decoded(F.col("data")), _BODY)
-    decoded = messages.withColumn("body", body)
-    # A body that is no JSON object reads as a record of NULLs or as NULL.
-    is_object = _decoded(F.col("data")).rlike(r"\A\s*\{")
-    return decoded.where((F.col("data") != "") & F.col("body").isNotNull() & is_object).drop(
-        "data"
-    )
+    """Add ``body``; messages that are empty or cannot be decoded are dropped.
+
+    The body is exploded from an array of one or none: that decodes each message once,
+    whereas a filter on the decoded text would be pushed down and decode it again.
+    """
+
+    def bodies(text: Column) -> Column:
+        # Only a JSON object can name an object; other JSON reads as a record of NULLs.
+        is_object = text.rlike(r"\A\s*\{")
+        return let(
+            F.from_json(text, _BODY),
+            lambda body: F.when(is_object & body.isNotNull(), F.array(body)),
+        )
+
+    kept = [name for name in messages.columns if name != "data"]
+    return messages.select(*kept, F.explode(let(_decoded(F.col("data")), bodies)).alias("body"))
 
 
 def _decoded(data: Column) -> Column:
     """Base64 to text, or NULL. Characters outside of the alphabet are skipped."""
-    alphabet_only = F.regexp_replace(data, r"[^A-Za-z0-9+/=]", "")
-    well_formed = alphabet_only.rlike(
-        r"\A(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z"
+    well_formed = r"\A(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z"
+    return let(
+        F.regexp_replace(data, r"[^A-Za-z0-9+/=]", ""),
+        lambda encoded: F.when(
+            encoded.rlike(well_formed) & (encoded != ""),
+            F.try_validate_utf8(F.unbase64(encoded).cast("string")),
+        ),
     )
-    return F.when(well_formed, F.try_validate_utf8(F.unbase64(alphabet_only).cast("string")))
 
 
 def route(messages: DataFrame) -> DataFrame:
