@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from folia.checks import oracles as sql, views
 from folia.config import Settings
@@ -29,7 +29,10 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
-        QUERIES[name] = query
+        def widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return _widened(query(spark, sf_dir))
+
+        QUERIES[name] = widened
         if oracle is not None:
             ORACLES[name] = oracle
         return query
@@ -37,6 +40,18 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _widened(frame: DataFrame) -> DataFrame:
+    """Whole numbers as BIGINT, the type they have in SQL."""
+    return frame.select(
+        *(
+            F.col(f.name).cast("bigint").alias(f.name)
+            if isinstance(f.dataType, T.IntegerType)
+            else F.col(f.name)
+            for f in frame.schema.fields
+        )
+    )
+
+
 # Listing and paths.
 
 
@@ -137,7 +152,8 @@ def extract_text(spark, sf_dir):
     "extract_layout_chunks",
     sql.with_ctes(
         sql.EXTRACTED,
-        """SELECT uri, position - 1 AS position, c.chunk_id, c.content, c.page_start, c.page_end,
+        """SELECT uri, position - 1 AS position, c.chunk_id, c.content,
+        c.page_start::BIGINT AS page_start, c.page_end::BIGINT AS page_end,
         array_to_string(c.source_block_ids, ',') AS source_block_ids
         FROM (SELECT uri, unnest(layout_chunks) AS c,
             generate_subscripts(layout_chunks, 1) AS position FROM extracted)""",
@@ -409,7 +425,7 @@ _VECTOR_TEXT = (
         *sql.chunk_ctes("cleaned"),
         *sql.weight_ctes("chunks", "doc_id, chunk_index", "content", SETTINGS.embedding_dimensions, "weights"),
         f"texts AS (SELECT doc_id, chunk_index, {_VECTOR_TEXT} AS vector FROM weights GROUP BY ALL)",
-        f"""SELECT doc_id, chunk_index, {SETTINGS.embedding_dimensions} AS dims,
+        f"""SELECT doc_id, chunk_index, {SETTINGS.embedding_dimensions}::BIGINT AS dims,
         coalesce(vector, '') AS vector FROM chunks LEFT JOIN texts USING (doc_id, chunk_index)""",
     ),
 )
@@ -449,7 +465,7 @@ _ZIP_SOURCE = f"""zipped AS (
         """SELECT doc_id, CASE WHEN position % 2 = 0 THEN position * 10 ELSE position END AS chunk_index,
         content, length(content)::DOUBLE AS x FROM (
             SELECT doc_id, unnest(lines) AS content,
-            (generate_subscripts(lines, 1) - 1)::INT AS position FROM zipped)""",
+            generate_subscripts(lines, 1) - 1 AS position FROM zipped)""",
     ),
 )
 def zip_embeddings(spark, sf_dir):
@@ -559,7 +575,7 @@ def store_one(spark, sf_dir):
         *sql.weight_ctes("stored", "id", "content", SETTINGS.embedding_dimensions, "weights"),
         """nonzero AS (SELECT id, count(*) AS words, max(n) AS top_count FROM weights_counts GROUP BY id)""",
         f"""SELECT s.id, s.source, s.chunk_index, length(s.content) AS char_count,
-        {SETTINGS.embedding_dimensions} AS dims, coalesce(n.words, 0) AS nonzero, d.language
+        {SETTINGS.embedding_dimensions}::BIGINT AS dims, coalesce(n.words, 0) AS nonzero, d.language
         FROM stored s LEFT JOIN nonzero n USING (id) JOIN described d ON d.source = s.source""",
     ),
 )
@@ -697,7 +713,7 @@ def search_by_text_batch(spark, sf_dir):
     "similarity_search_batch",
     sql.with_ctes(
         _VECTORS,
-        "queries AS (SELECT label AS query_id, arg_min(embedding, id) AS q FROM vectors GROUP BY label)",
+        "queries AS (SELECT label::BIGINT AS query_id, arg_min(embedding, id) AS q FROM vectors GROUP BY label)",
         f"""ranked AS (SELECT query_id, id, similarity, row_number() OVER (
             PARTITION BY query_id ORDER BY round(similarity, 9) DESC, id) AS rank
         FROM (SELECT query_id, id, {_COSINE} AS similarity FROM queries, vectors))""",
@@ -715,10 +731,13 @@ def similarity_search_batch(spark, sf_dir):
 
 @register("ann_search")
 def ann_search(spark, sf_dir):
-    """Approximate: which hits are found depends on the hashing."""
+    """Approximate: which hits are found depends on the hashing.
+
+    The given vectors have no close neighbours, so the cells are chosen large.
+    """
     table = views.vectors(spark, sf_dir)
     query = _first_vector(spark, sf_dir)
-    hashing = ann.Hashing(dims=len(query))
+    hashing = ann.Hashing(dims=len(query), hashes=3)
     path = scratch_path(spark, "ann")
     ann.build_index(table, path, hashing)
     return _rounded(ann.ann_search(table, spark.read.parquet(path), query, hashing))
@@ -825,9 +844,16 @@ def _outcomes(spark, sf_dir, files: int = 1 << 31):
     return runs.outcomes(results.with_output_path(docs.process(documents)))
 
 
-@register("process_outcomes", sql.with_ctes(*_OUTCOMES, "SELECT * FROM outcomes"))
+@register(
+    "process_outcomes",
+    sql.with_ctes(
+        *_OUTCOMES, "SELECT * REPLACE (coalesce(chunk_count, -1) AS chunk_count) FROM outcomes"
+    ),
+)
 def process_outcomes(spark, sf_dir):
-    return _outcomes(spark, sf_dir)
+    """A failure has no chunk count; here it shows as -1."""
+    count = F.coalesce("chunk_count", F.lit(-1))
+    return _outcomes(spark, sf_dir).withColumn("chunk_count", count)
 
 
 @register(

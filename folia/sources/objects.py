@@ -10,10 +10,10 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     )
-    base = F.lit(root.rstrip("/") + "/")
+    base = root.split("://", 1)[-1].rstrip("/") + "/"
     return found.select(
         F.col("path").alias("uri"),
-        F.substring_index(F.col("path"), base, -1).alias("name"),
+        F.substr("path", F.locate(base, F.col("path")) + len(base)).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("updated"),
     )
