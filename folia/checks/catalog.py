@@ -12,7 +12,7 @@ from folia.functions.vectors import cosine_similarity
 from folia.operators import ann, documents as docs, embedding, runs, search
 from folia.operators.ids import with_dense_ids
 from folia.plans import batch
-from folia.session import scratch_path
+from folia.session import materialise, scratch_path
 from folia.sources import index, objects, results, vectors
 from folia.sources.spread import spread
 from folia.streaming import notifications as notes
@@ -490,7 +490,7 @@ def zip_embeddings(spark, sf_dir):
 
 def _stored(spark, sf_dir):
     processed = batch.process_prefix(views.extracted(spark, sf_dir))
-    return batch.stored_view(batch.materialise(processed))
+    return batch.stored_view(materialise(processed, "processed"))
 
 
 @register(
@@ -527,7 +527,7 @@ def _filled_table(spark, sf_dir, times: int = 1) -> Settings:
     location = scratch_path(spark, "vectors")
     settings = Settings(vector_table="chunks_" + location.rsplit("-", 1)[-1])
     vectors.ensure_table(spark, settings, location)
-    processed = batch.materialise(batch.process_prefix(views.extracted(spark, sf_dir)))
+    processed = materialise(batch.process_prefix(views.extracted(spark, sf_dir)), "processed")
     for _ in range(times):
         batch.embed_and_store(processed, settings)
     return settings
@@ -818,7 +818,8 @@ def process_batch_isolated(spark, sf_dir):
     ),
 )
 def batch_paths(spark, sf_dir):
-    return batch.output_uris(batch.process_prefix(views.extracted(spark, sf_dir), PREFIX))
+    selected = batch.select_pdfs(views.extracted(spark, sf_dir), PREFIX)
+    return batch.output_uris(batch.result_files(selected))
 
 
 # Every pending file against the extracted documents of all but the first source.
@@ -837,10 +838,10 @@ _OUTCOMES = [
 ]
 
 
-def _outcomes(spark, sf_dir, files: int = 1 << 31):
+def _outcomes(spark, sf_dir):
     extracted = views.extracted(spark, sf_dir).drop("doc_id")
     there = extracted.where(~F.col("name").startswith("src0/"))
-    documents = runs.attach_extracted(_pending(spark, sf_dir), there, files)
+    documents = runs.attach_extracted(_pending(spark, sf_dir), there)
     return runs.outcomes(results.with_output_path(docs.process(documents)))
 
 
@@ -865,7 +866,7 @@ def process_outcomes(spark, sf_dir):
     ),
 )
 def split_outcomes(spark, sf_dir):
-    outcomes = batch.materialise(_outcomes(spark, sf_dir))
+    outcomes = materialise(_outcomes(spark, sf_dir), "outcomes")
     good = runs.successes(outcomes).select(F.lit("success").alias("side"), "gcs_uri")
     return good.union(runs.failures(outcomes).select(F.lit("failure").alias("side"), "gcs_uri"))
 

@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from folia.functions.naming import dead_letter_path
 from folia.operators.documents import NOT_EXTRACTED
+from folia.session import materialise
 from folia.sources.objects import pdfs, without_control_files
 
-# A listing capped to this many rows is small enough to send to every task.
+# A list of at most so many files is pushed into the scan, or sent to every task.
+MAX_PUSHED_FILES = 1_000
 MAX_BROADCAST_FILES = 100_000
 
 
@@ -31,20 +33,28 @@ def discovery_counts(pending: DataFrame, max_files: int) -> DataFrame:
     )
 
 
-def attach_extracted(files: DataFrame, extracted: DataFrame, max_files: int) -> DataFrame:
-    """The extracted document of every file; files without one get an error."""
-    wanted = files.select("uri", "name")
-    if max_files <= MAX_BROADCAST_FILES:
-        # The documents stay where they are: only the few wanted names travel.
-        found = extracted.drop("name").join(F.broadcast(wanted), "uri")
-        missing = wanted.join(found.select("uri"), "uri", "left_anti")
-        return found.unionByName(
-            missing.withColumn("error", F.lit(NOT_EXTRACTED)), allowMissingColumns=True
-        )
-    marked = extracted.drop("name").withColumn("_found", F.lit(True))
-    joined = wanted.join(marked, "uri", "left")
-    error = F.when(F.col("_found").isNull(), NOT_EXTRACTED).otherwise(F.col("error"))
-    return joined.withColumn("error", error).drop("_found")
+def attach_extracted(files: DataFrame, extracted: DataFrame) -> DataFrame:
+    """The extracted document of every file; files without one get an error.
+
+    How the documents are found depends on the number of files, which is looked up
+    first: a short list of URIs is pushed into the scan, a longer one is broadcast, and
+    beyond that both sides are joined by a shuffle.
+    """
+    wanted = materialise(files.select("uri", "name"), "wanted")
+    number = wanted.count()
+    documents = extracted.drop("name")
+    if number > MAX_BROADCAST_FILES:
+        marked = documents.withColumn("_found", F.lit(True))
+        joined = wanted.join(marked, "uri", "left")
+        error = F.when(F.col("_found").isNull(), NOT_EXTRACTED).otherwise(F.col("error"))
+        return joined.withColumn("error", error).drop("_found")
+    if number <= MAX_PUSHED_FILES:
+        documents = documents.where(F.col("uri").isin([row["uri"] for row in wanted.collect()]))
+    found = documents.join(F.broadcast(wanted), "uri")
+    missing = wanted.join(documents.select("uri"), "uri", "left_anti")
+    return found.unionByName(
+        missing.withColumn("error", F.lit(NOT_EXTRACTED)), allowMissingColumns=True
+    )
 
 
 def outcomes(processed: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folia.config import Settings
-from folia.functions.naming import object_uri
+from folia.functions.naming import basename, object_uri
 from folia.operators.documents import process, succeeded
-from folia.session import scratch_path
+from folia.session import materialise
 from folia.sources.objects import pdfs, under_prefix
 from folia.sources.results import (
     keep_path_winners,
@@ -20,6 +20,10 @@ from folia.sources.results import (
 from folia.sources.vectors import ensure_table, store_chunks, vector_rows
 
 
+def select_pdfs(extracted: DataFrame, prefix: str = "") -> DataFrame:
+    return pdfs(under_prefix(extracted, prefix))
+
+
 def process_prefix(
     extracted: DataFrame, prefix: str = "", settings: Settings = Settings()
 ) -> DataFrame:
@@ -27,13 +31,21 @@ def process_prefix(
 
     One scan of the documents, without a shuffle.
     """
-    selected = pdfs(under_prefix(extracted, prefix))
+    selected = select_pdfs(extracted, prefix)
     return with_output_path(succeeded(process(selected, settings)))
 
 
-def output_uris(processed: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def result_files(selected: DataFrame) -> DataFrame:
+    """Source, name and output path of every file that has a result; reads no text."""
+    named = succeeded(selected).select(
+        F.col("uri").alias("source"), "name", basename(F.col("uri")).alias("filename")
+    )
+    return with_output_path(named)
+
+
+def output_uris(files: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The URI of the result of every processed file."""
-    return processed.select(
+    return files.select(
         "source",
         object_uri(settings.output_bucket, F.col("output_path")).alias("output_uri"),
     )
@@ -53,18 +65,6 @@ def stored_view(processed: DataFrame, settings: Settings = Settings()) -> DataFr
     return vector_rows(result_chunks(processed), settings.embedding_dimensions)
 
 
-def materialise(processed: DataFrame) -> DataFrame:
-    """Write processed documents to the scratch folder and read them back.
-
-    For use by several sinks: the documents are processed once, and a lost executor
-    only means reading again.
-    """
-    spark = processed.sparkSession
-    path = scratch_path(spark, "processed")
-    processed.write.parquet(path)
-    return spark.read.schema(processed.schema).parquet(path)
-
-
 def run_name() -> str:
     """A name for a run; later runs sort after earlier ones."""
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
@@ -85,12 +85,16 @@ def run_batch(
     run: str | None = None,
 ) -> BatchRun:
     """Process a prefix; write the result records (if a path is given) and store the vectors."""
-    processed = materialise(process_prefix(extracted, prefix, settings))
+    processed = process_prefix(extracted, prefix, settings)
+    files = result_files(select_pdfs(extracted, prefix))
+    if store:
+        # Both sinks, and the sampling that orders the ids, read the stored rows.
+        processed = materialise(processed, "processed")
     if results_path:
-        write_results(keep_path_winners(processed, processed), results_path, run or run_name())
+        write_results(keep_path_winners(processed, files), results_path, run or run_name())
     if store:
         embed_and_store(processed, settings)
-    return BatchRun(processed, output_uris(processed, settings))
+    return BatchRun(processed, output_uris(files, settings))
 
 
 def store_results(

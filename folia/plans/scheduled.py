@@ -13,7 +13,8 @@ from folia.operators.runs import (
     pending_files,
     successes,
 )
-from folia.plans.batch import embed_and_store, materialise, run_name
+from folia.plans.batch import embed_and_store, run_name
+from folia.session import materialise
 from folia.sources.index import add_to_index, read_index
 from folia.sources.results import keep_path_winners, with_output_path, write_results
 
@@ -39,11 +40,10 @@ def run_scheduled(
     Failures stay out of the index, so the next run tries them again.
     """
     spark = listing.sparkSession
-    limit = settings.max_files_per_run
     pending = pending_files(listing, read_index(spark, index_path))
-    taken = materialise(capped(pending, limit))
-    documents = attach_extracted(taken, extracted, limit)
-    processed = materialise(with_output_path(process(documents, settings)))
+    taken = capped(pending, settings.max_files_per_run)
+    documents = attach_extracted(taken, extracted)
+    processed = materialise(with_output_path(process(documents, settings)), "processed")
     results = outcomes(processed)
 
     good = succeeded(processed)

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
@@ -35,3 +35,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="folia-"))
             root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(frame: DataFrame, name: str) -> DataFrame:
+    """Write a DataFrame to the scratch folder and read it back.
+
+    For results used several times: they are computed once, readers fetch only the
+    columns they need, and a lost executor only means reading again.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

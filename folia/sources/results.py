@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from folia.functions.naming import iso_utc, result_path
 from folia.schemas import LAYOUT_CHUNK, METADATA, TEXT_CHUNK
+from folia.session import materialise
 
 # Keys of the JSON record and the columns they hold.
 JSON_KEYS = {
@@ -18,6 +19,9 @@ JSON_KEYS = {
     "langchain_chunks": "text_chunks",
 }
 
+# Names of overwritten results sent to every task, at most; more are joined by a shuffle.
+MAX_BROADCAST_LOSERS = 100_000
+
 _RECORD = T.StructType(
     [
         T.StructField("source", T.StringType()),
@@ -57,8 +61,19 @@ def path_winners(files: DataFrame) -> DataFrame:
 
 
 def keep_path_winners(processed: DataFrame, files: DataFrame) -> DataFrame:
-    """Drop processed documents whose result another file overwrites."""
-    return processed.join(path_winners(files), ["output_path", "name"], "left_semi")
+    """Drop processed documents whose result another one of ``files`` overwrites.
+
+    Few files lose their path, so the losers are looked up first, by name only. Without
+    any, and with a list of them small enough to broadcast, the documents stay in place.
+    """
+    keys = ["output_path", "name"]
+    losers = materialise(files.select(keys).join(path_winners(files), keys, "left_anti"), "losers")
+    number = losers.count()
+    if number == 0:
+        return processed
+    if number <= MAX_BROADCAST_LOSERS:
+        losers = F.broadcast(losers)
+    return processed.join(losers, keys, "left_anti")
 
 
 def path_collisions(files: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from folia.config import Settings
 from folia.functions.binding import let
 from folia.functions.naming import is_pdf, object_uri
-from folia.operators.documents import NOT_EXTRACTED, process, succeeded
-from folia.plans.batch import materialise
+from folia.operators.documents import process, succeeded
+from folia.operators.runs import attach_extracted
 from folia.schemas import NOTIFICATION
+from folia.session import materialise
 from folia.sources.results import keep_path_winners, with_output_path, write_results
 
 # Fixed value: the only event type that leads to processing.
@@ -117,13 +118,9 @@ def process_batch(
     However often an object is announced, it is processed once per batch. Results are
     keyed by the batch, so a repeated batch replaces its own results.
     """
-    # The announced names may be many, so the optimizer chooses the join, not a hint.
     announced = objects.select("uri", "name").dropDuplicates(["uri"])
-    marked = extracted.drop("name").withColumn("_found", F.lit(True))
-    joined = announced.join(marked, "uri", "left")
-    error = F.when(F.col("_found").isNull(), NOT_EXTRACTED).otherwise(F.col("error"))
-    documents = joined.withColumn("error", error).drop("_found")
-    processed = materialise(with_output_path(process(documents, settings)))
+    documents = attach_extracted(announced, extracted)
+    processed = materialise(with_output_path(process(documents, settings)), "processed")
     good = succeeded(processed)
     write_results(keep_path_winners(good, good), results_path, f"{batch_id:012d}")
     if raise_failures:

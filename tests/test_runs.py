@@ -75,7 +75,7 @@ def test_prefix_and_errors(spark):
     )
     found = batch.process_prefix(documents, "docs/")
     assert [r.filename for r in found.collect()] == ["report.PDF"]
-    assert batch.output_uris(found).first().output_uri == (
+    assert batch.output_uris(found.drop("name")).first().output_uri == (
         "gs://corporate-processed-docs/results/report.json"
     )
     assert batch.process_prefix(documents, "none/").collect() == []
@@ -107,8 +107,9 @@ def test_list_objects(spark, tmp_path):
         (tmp_path / name).write_bytes(b"12345")
     found = objects.list_objects(spark, str(tmp_path))
     assert {r.name: r.size for r in found.collect()} == dict.fromkeys(
-        ["a.pdf", "docs/B.PDF", "docs/c.txt", "_pipeline/d.pdf"], 5
+        ["a.pdf", "docs/B.PDF", "docs/c.txt"], 5
     )
+    # Spark's own file listing hides names that start with an underscore.
     eligible = objects.without_control_files(objects.pdfs(found))
     assert {r.name for r in eligible.collect()} == {"a.pdf", "docs/B.PDF"}
     info = objects.file_info(objects.under_prefix(found, "docs/")).first()
@@ -213,10 +214,12 @@ def test_scheduled_runs(spark, tmp_path, settings):
     assert stored.count() == stored.agg(F.max("id")).first()[0]
 
 
-@pytest.mark.parametrize("max_files", [10, runs.MAX_BROADCAST_FILES + 1])
-def test_attach_extracted(spark, max_files):
+@pytest.mark.parametrize("pushed, broadcast", [(10, 10), (0, 10), (0, 0)])
+def test_attach_extracted(spark, monkeypatch, pushed, broadcast):
+    monkeypatch.setattr(runs, "MAX_PUSHED_FILES", pushed)
+    monkeypatch.setattr(runs, "MAX_BROADCAST_FILES", broadcast)
     documents = extracted(spark, ("a.pdf", "x", [], None), ("b.pdf", None, None, "bad"))
-    found = runs.attach_extracted(listing(spark, "a.pdf", "b.pdf", "c.pdf"), documents, max_files)
+    found = runs.attach_extracted(listing(spark, "a.pdf", "b.pdf", "c.pdf"), documents)
     processed = results.with_output_path(process(found))
     outcome = {r.gcs_uri[-5:]: r for r in runs.outcomes(processed).collect()}
     assert outcome["a.pdf"].status == "success" and outcome["a.pdf"].chunk_count == 1
