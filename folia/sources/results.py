@@ -19,8 +19,8 @@ JSON_KEYS = {
     "langchain_chunks": "text_chunks",
 }
 
-# Names of overwritten results sent to every task, at most; more are joined by a shuffle.
-MAX_BROADCAST_LOSERS = 100_000
+# Keys of overwritten results sent to every task, at most; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 100_000
 
 _RECORD = T.StructType(
     [
@@ -67,13 +67,18 @@ def keep_path_winners(processed: DataFrame, files: DataFrame) -> DataFrame:
     any, and with a list of them small enough to broadcast, the documents stay in place.
     """
     keys = ["output_path", "name"]
-    losers = materialise(files.select(keys).join(path_winners(files), keys, "left_anti"), "losers")
-    number = losers.count()
+    return _without(processed, files.select(keys).join(path_winners(files), keys, "left_anti"))
+
+
+def _without(frame: DataFrame, unwanted: DataFrame) -> DataFrame:
+    """The rows of ``frame`` whose keys are not among the, mostly few, unwanted ones."""
+    listed = materialise(unwanted, "unwanted")
+    number = listed.count()
     if number == 0:
-        return processed
-    if number <= MAX_BROADCAST_LOSERS:
-        losers = F.broadcast(losers)
-    return processed.join(losers, keys, "left_anti")
+        return frame
+    if number <= MAX_BROADCAST_KEYS:
+        listed = F.broadcast(listed)
+    return frame.join(listed, listed.columns, "left_anti")
 
 
 def path_collisions(files: DataFrame) -> DataFrame:
@@ -103,9 +108,10 @@ def current_results(spark: SparkSession, path: str) -> DataFrame:
         ]
     )
     written = spark.read.schema(schema).json(path)
+    keys = ["output_path", "run"]
     last = written.groupBy("output_path").agg(F.max("run").alias("run"))
-    current = written.join(last, ["output_path", "run"], "left_semi")
-    return current.select("output_path", "run", *_renamed())
+    replaced = written.select(keys).join(last, keys, "left_anti")
+    return _without(written, replaced).select(*keys, *_renamed())
 
 
 def read_results(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

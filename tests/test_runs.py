@@ -118,7 +118,9 @@ def test_list_objects(spark, tmp_path):
     assert (unknown.size, unknown.updated) == (0, "")
 
 
-def test_results_round_trip_and_overwriting(spark, tmp_path):
+@pytest.mark.parametrize("broadcast", [results.MAX_BROADCAST_KEYS, 0])
+def test_results_round_trip_and_overwriting(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(results, "MAX_BROADCAST_KEYS", broadcast)
     path = str(tmp_path / "results")
     documents = extracted(spark, ("a/x.pdf", "first", LAYOUT, None), ("b/x.pdf", "second", [], None))
     batch.run_batch(documents, path, run="1")
@@ -133,6 +135,16 @@ def test_results_round_trip_and_overwriting(spark, tmp_path):
     assert results.read_results(spark, path).count() == 2
 
 
+def test_a_third_of_all_files_on_one_path(spark, tmp_path):
+    hot = [(f"d{i:03}/same.pdf", f"text {i}", [], None) for i in range(100)]
+    others = [(f"d/{i}.pdf", f"text {i}", [], None) for i in range(200)]
+    batch.run_batch(extracted(spark, *hot, *others), str(tmp_path / "r"))
+    current = results.current_results(spark, str(tmp_path / "r"))
+    assert current.count() == 201
+    kept = current.where("filename = 'same.pdf'").collect()
+    assert [r.source for r in kept] == [BUCKET + "d099/same.pdf"]
+
+
 def test_single_record_files_can_be_stored(spark, tmp_path, settings):
     record = {
         "source": "gs://in/a.pdf",
