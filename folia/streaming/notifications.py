@@ -17,7 +17,8 @@ from folia.sources.results import keep_path_winners, with_output_path, write_res
 
 # Fixed value: the only event type that leads to processing.
 CREATED = "OBJECT_FINALIZE"
-_BODY = "bucket STRING, name STRING"
+# The fields of the body that are used.
+_BODY = ("bucket", "name")
 
 
 def notification_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -45,24 +46,31 @@ def decode(messages: DataFrame) -> DataFrame:
     """
 
     def bodies(text: Column) -> Column:
-        # Only a JSON object can name an object; other JSON reads as a record of NULLs.
+        # The parser stops at the end of a value. As the element of a list, text after the
+        # value shows up as bad JSON or as a second element. Only an object is wanted.
         is_object = text.rlike(r"\A\s*\{")
         return let(
-            F.from_json(text, _BODY),
-            lambda body: F.when(is_object & body.isNotNull(), F.array(body)),
+            F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+            lambda json: F.when(
+                is_object & json.isNotNull() & field(json, "$[1]", "variant").isNull(),
+                F.array(F.struct(*(field(json, f"$[0].{key}").alias(key) for key in _BODY))),
+            ),
         )
 
+    def field(json: Column, path: str, kind: str = "string") -> Column:
+        return F.try_variant_get(json, path, kind)
+
     kept = [name for name in messages.columns if name != "data"]
     return messages.select(*kept, F.explode(let(_decoded(F.col("data")), bodies)).alias("body"))
 
 
 def _decoded(data: Column) -> Column:
     """Base64 to text, or NULL. Characters outside of the alphabet are skipped."""
-    well_formed = r"\A(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z"
+    padded = r"\A[A-Za-z0-9+/]*={0,2}\z"
     return let(
         F.regexp_replace(data, r"[^A-Za-z0-9+/=]", ""),
         lambda encoded: F.when(
-            encoded.rlike(well_formed) & (encoded != ""),
+            encoded.rlike(padded) & (F.length(encoded) % 4 == 0) & (encoded != ""),
             F.try_validate_utf8(F.unbase64(encoded).cast("string")),
         ),
     )

@@ -36,6 +36,9 @@ CASES = [
     ({**message(), "data": None}, None),
     (message(body="no json"), None),
     (message(body="[1]"), None),
+    (message(body='{"name":'), None),
+    (message(body='{"name": "x"} y'), None),
+    (message(body='{"name": "x"}, {"name": "y"}'), None),
     # Characters outside of the alphabet are skipped, wrong padding is not accepted.
     ({**message(), "data": "!" + encoded(BODY)[:8] + "\n" + encoded(BODY)[8:]}, "gs://raw/doc.pdf"),
     ({**message(), "data": "A" + encoded(BODY)}, None),
