@@ -365,7 +365,8 @@ def split_leaves(spark, sf_dir):
 
 
 def _register_chunks(name: str, settings: Settings) -> None:
-    statement = "SELECT doc_id, chunk_index, content, length(content) AS char_count, 'unknown' AS source FROM chunks"
+    statement = """SELECT doc_id, chunk_index, content, length(content) AS char_count,
+        'unknown' AS source FROM chunks"""
 
     @register(
         name,
@@ -698,7 +699,8 @@ def search_by_text(spark, sf_dir):
     "search_by_text_batch",
     sql.with_ctes(
         *_text_search("benchmark"),
-        "SELECT item_id AS query_id, rank, id, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 5",
+        """SELECT item_id AS query_id, rank, id, round(similarity, 6) AS similarity
+        FROM ranked WHERE rank <= 5""",
     ),
 )
 def search_by_text_batch(spark, sf_dir):
@@ -920,7 +922,8 @@ def write_index(spark, sf_dir):
     entries = views.processed_index(spark, sf_dir)
     index.write_snapshot(entries.union(entries), path)
     file = F.col("_metadata.file_path")
-    rows = spark.read.parquet(path).select("uri", file.alias("file"), F.col("_metadata.row_index").alias("row"))
+    row = F.col("_metadata.row_index")
+    rows = spark.read.parquet(path).select("uri", file.alias("file"), row.alias("row"))
     return with_dense_ids(rows, ["file", "row"]).select(F.col("id").alias("position"), "uri")
 
 

@@ -195,7 +195,8 @@ def _with_similarity(batch: pa.RecordBatch, target: np.ndarray) -> pa.RecordBatc
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    table = pa.Table.from_batches(batches).combine_chunks()
+    return table.to_batches()[0] if table.num_rows else batches[0]
 
 
 def _top(batch: pa.RecordBatch, top_k: int) -> pa.RecordBatch:

@@ -135,6 +135,14 @@ def test_search_many_in_one_or_many_slices(spark, table, matrix):
         assert [rows[name, rank] for rank in range(1, 13)] == order[:12]
 
 
+def test_search_of_nothing(spark, table, matrix):
+    nothing = table.where("id < 0").repartition(3)
+    assert search.similarity_search(nothing, matrix[0]).collect() == []
+    queries = spark.createDataFrame([(1, matrix[0].tolist())], "query_id INT, embedding ARRAY<FLOAT>")
+    assert search.search_many(nothing, queries).collect() == []
+    assert search.search_many(table, queries.limit(0)).collect() == []
+
+
 def test_cosine_similarity_column(spark):
     frame = spark.createDataFrame(
         [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 0.0]), (None, [1.0, 0.0])],
