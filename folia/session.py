@@ -1,5 +1,6 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
@@ -25,15 +26,16 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table, below the cluster's checkpoint folder.
 
-    Only where no folder is configured, as in tests, a local one is set.
+    Executors of a cluster share only the folder the cluster names; without one this
+    raises. A local session, as in tests, gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="folia-"))
         root = context.getCheckpointDir()
-        if root is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="folia-"))
-            root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

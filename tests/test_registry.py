@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from folia.checks.catalog import ORACLES, QUERIES
 from folia.config import Settings
 
 SF = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def comparable(rows, columns):
     return sorted((tuple(value(row[c]) for c in columns) for row in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     frame = registry.queries()[name](spark, SF)
     columns = sorted(frame.columns)
@@ -52,7 +53,7 @@ def _numbers(row):
 
 
 def test_all_but_approximate_search_have_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"ann_search"}
+    assert set(QUERIES) - set(ORACLES) == {"ann_search"}
 
 
 def test_entry(spark):
