@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folia.llm import packing, sharding, tokenfiles
+from folia.llm import language, packing, pii, setjoin, sharding, suffixes, tokenfiles
+from folia.llm.frames import with_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,11 +16,42 @@ def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = setjoin.similar_documents(_table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", "class_id", "n_links", "kept")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        language.held_out().alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return tokenfiles.token_files(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_text(_table(spark, sf_dir, "documents"))
+    found = pii.find(docs, pii.train(docs))
+    counts = [F.col(f"pii.n_{kind}").alias(f"n_{kind}") for kind in pii.KINDS]
+    base = pii.digest(F.col("pii.base")).alias("base_sha256")
+    return found.select("doc_id", *counts, base, F.col("pii.spans").alias("spans"))
+
+
 def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.balanced_shards(_table(spark, sf_dir, "documents"), 8)
     return shards.select(
@@ -35,8 +67,12 @@ def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_vector_packing": op2_vector_packing,
+    "op3_chosen_path_join": op3_chosen_path_join,
+    "op5_language": op5_language,
     "op6_token_files": op6_token_files,
+    "op7_repeated_strings": op7_repeated_strings,
     "op9_balanced_shards": op9_balanced_shards,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {}
