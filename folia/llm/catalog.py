@@ -3,7 +3,17 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folia.llm import language, packing, pii, setjoin, sharding, suffixes, tokenfiles
+from folia.llm import (
+    flatgraph,
+    language,
+    packing,
+    pii,
+    setjoin,
+    sharding,
+    suffixes,
+    tokenfiles,
+    vectortree,
+)
 from folia.llm.frames import with_text
 
 
@@ -11,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -44,6 +58,11 @@ def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op8_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vectortree.nearest_vectors(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_text(_table(spark, sf_dir, "documents"))
     found = pii.find(docs, pii.train(docs))
@@ -66,11 +85,13 @@ def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_flat_graph": op1_flat_graph,
     "op2_vector_packing": op2_vector_packing,
     "op3_chosen_path_join": op3_chosen_path_join,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op7_repeated_strings": op7_repeated_strings,
+    "op8_vector_tree": op8_vector_tree,
     "op9_balanced_shards": op9_balanced_shards,
     "op10_personal_data": op10_personal_data,
 }

@@ -14,7 +14,7 @@ def with_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, *more)
 
 
-def usable_vectors(vectors: DataFrame) -> Column:
+def usable_vectors() -> Column:
     """True for vectors that are not NULL, not zero and all of finite numbers."""
     value = F.col("embedding")
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
