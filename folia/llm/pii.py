@@ -180,7 +180,10 @@ def _spoilt(found: str, kind: str, random: np.random.Generator) -> str:
     if kind == "card":
         digits = _digits(changed)
         return changed if not luhn(digits) else changed[:-1] + str((int(changed[-1]) + 1) % 10)
-    return changed.lstrip("+").replace(" ", "").replace("-", "")
+    # Dates look most like phone numbers.
+    day, month, year = (int(random.integers(a, b)) for a, b in ((1, 29), (1, 13), (1950, 2040)))
+    dates = f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", f"{day:02}/{month:02}/{year}"
+    return (*dates, re.sub("[^0-9]", "", changed))[int(random.integers(4))]
 
 
 def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:

@@ -439,6 +439,14 @@ def without_repeats(
     documents like others, so they lose everything they share. An empty table gives no
     rows; other columns are left out.
     """
+    changed, untouched = _cut(docs, repeats, keep_text, keep_text)
+    return changed.unionByName(untouched)
+
+
+def _cut(
+    docs: DataFrame, repeats: Repeats, keep_text: bool, keep_untouched: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Documents that hold a shared anchor, and the others."""
     length = repeats.length
     rows = with_text(docs).withColumn("text_crc", F.crc32(F.encode("text", "UTF-8")))
     runs = _find_runs(rows, length)
@@ -465,7 +473,7 @@ def without_repeats(
             *names,
             F.octet_length("text").cast("long").alias("n_bytes"),
             F.when(whole, F.sha2(F.encode("text", "UTF-8"), 256)).alias("kept_sha256"),
-            F.when(~whole | F.lit(keep_text), F.col("text")).alias("text"),
+            F.when(~whole | F.lit(keep_untouched), F.col("text")).alias("text"),
             whole.alias("whole"),
             "items",
         ),
@@ -498,8 +506,26 @@ def without_repeats(
         *names, "n_bytes", none.alias("n_removed"), none.alias("n_spans"), "kept_sha256",
         *([F.col("text").alias("kept_text")] if keep_text else []),
     )
-    return result.unionByName(untouched)
+    return result, untouched
 
 
 def _equal(left: DataFrame, right: DataFrame):
     return left.doc_id.eqNullSafe(right.doc_id) & (left.text_crc == right.text_crc)
+
+
+def cut_documents(docs: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:
+    """The documents with repeated bytes cut out of their texts, with all their columns.
+
+    Characters cut in two go. Every document stays, if need be with an empty text; NULL
+    texts stay NULL.
+    """
+    cut, _ = _cut(docs, repeats, keep_text=True, keep_untouched=False)
+    changed = cut.where(F.col("n_removed") > 0).select(
+        F.col("doc_id").alias("_id"), F.col("text_crc").alias("_crc"), F.col("kept_text").alias("_kept")
+    ).dropDuplicates(["_id", "_crc"])
+    crc = F.crc32(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"))
+    own = docs.withColumn("_own_crc", crc)
+    joined = own.join(
+        changed, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_crc") == F.col("_crc")), "left"
+    )
+    return joined.withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
