@@ -160,9 +160,7 @@ def token_pieces(
 
 
 def _cut(rows, words, end_id, longest, keep_ids, seen, part) -> pa.RecordBatch:
-    ids, ends = words.encode(rows.column("text"))
-    ids = np.insert(ids, ends[1:], end_id).astype(np.uint32)
-    ends = ends + np.arange(len(ends))
+    ids, ends = words.encode(rows.column("text"), end_id)
     lengths = np.diff(ends)
     counts = -(-lengths // longest)
     document = np.repeat(np.arange(len(lengths)), counts)

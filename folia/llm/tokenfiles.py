@@ -162,9 +162,8 @@ def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2
         words, part, start = encoder(tokenizer_path, spaces=False), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in text_slices(batch, limit=4 << 20):
-                ids, ends = words.encode(rows.column("text"))
-                ids = np.insert(ids, ends[1:], end_id)
-                lengths = np.diff(ends) + 1
+                ids, ends = words.encode(rows.column("text"), end_id)
+                lengths = np.diff(ends)
                 stream, block_words = encode(ids)
                 yield pa.RecordBatch.from_pydict(
                     {

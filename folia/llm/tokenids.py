@@ -21,6 +21,8 @@ REMEMBERED_WORDS = 600_000
 # A word of Latin-1 letters, perhaps followed by a run of other signs, is cut between the
 # two by every pattern used here; the vocabulary's merges then see exactly these parts.
 _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#%&$]*)")
+# Marks the first word of a text among the remembered ones; no text can hold this code point.
+FIRST = "\ud800"
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -41,54 +43,54 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class WordEncoder:
-    """Encodes texts with a tokenizers file, word by word.
+class WordMemory:
+    """Puts the ids of texts together from those of their words, which it remembers.
 
-    ``spaces`` says that the vocabulary keeps a space as part of the word after it, as
-    byte-level ones do; otherwise white space is dropped and letters are lower-cased.
+    ``spaces`` says that a space belongs to the word after it; otherwise it is dropped.
     """
 
-    def __init__(self, path: str, spaces: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self._tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens in a text are ordinary text.
-        self._tokenizer.encode_special_tokens = True
-        self._model = self._tokenizer.model
-        self._spaces = spaces
-        self._table = _byte_letters()
+    def __init__(self, spaces: bool, shares: int = 1):
+        # ``shares`` memories of a worker have the bound in common.
+        self._spaces, self._shares = spaces, shares
         self._clear()
 
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def _spelt(self, word: str) -> str:
+        """What a remembered word stands for: with a space before it, or at a text's start."""
+        if word[:1] == FIRST:
+            return word[1:]
+        return f" {word}" if self._spaces else word
+
+    def _split(self, text: str) -> list[str]:
+        """The words, as remembered, of a text with other white space than single spaces."""
+        return [
+            w[1:] if w[:1] == " " and not self._is_odd(w[1:]) else FIRST + w
+            for w in _BORDER.split(text)
+        ]
+
     def _clear(self) -> None:
         self._place: dict[str, int] = {}
-        self._parts: dict[str, list[int]] = {}
         self._starts = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
         self._odd = np.zeros(0, bool)
-
-    def _part(self, text: str) -> list[int]:
-        """Ids of one part that the vocabulary's pattern does not cut further."""
-        found = self._parts.get(text)
-        if found is None:
-            shown = text if self._spaces else text.lower()
-            as_bytes = shown.encode("utf-8").decode("latin-1")
-            mapped = as_bytes.translate(self._table)
-            found = self._parts[text] = [t.id for t in self._model.tokenize(mapped)]
-        return found
-
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        found: list[list[int] | None] = []
-        rest: list[str] = []
-        for word in words:
-            plain = _PLAIN.fullmatch(word)
-            if plain is None:
-                rest.append(word)
-                found.append(None)
-            elif plain[2]:
-                found.append(self._part(plain[1]) + self._part(plain[2]))
-            else:
-                found.append(self._part(word))
-        others = iter(self._tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        return [next(others).ids if ids is None else ids for ids in found]
+        self._batches = np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the words that several batches had, so that the memory stays bounded."""
+        kept = np.flatnonzero(self._batches > 1)
+        if len(kept) > REMEMBERED_WORDS // 2:
+            kept = kept[:0]
+        words = list(self._place)
+        ids = [self._ids[self._starts[k] : self._starts[k + 1]] for k in kept]
+        odd = self._odd[kept]
+        self._clear()
+        self._place = {words[k]: i for i, k in enumerate(kept.tolist())}
+        self._starts = np.append(0, np.cumsum([len(i) for i in ids])).astype(np.int64)
+        self._ids = np.concatenate([self._ids, *ids])
+        self._odd = odd
+        self._batches = np.ones(len(kept), np.int32)
 
     def _places(self, words: list[str]) -> np.ndarray:
         """Where the ids of each word stand."""
@@ -99,53 +101,119 @@ class WordEncoder:
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             place.update(zip(missing, range(len(place), len(place) + len(missing))))
             more = np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum())
-            odd = [not w or w[-1].isspace() or w[w[0] == " " and self._spaces :][:1].isspace() for w in missing]
+            odd = [self._is_odd(w) for w in missing]
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(lengths)])
             self._ids = np.concatenate([self._ids, more])
             self._odd = np.concatenate([self._odd, odd])
+            self._batches = np.concatenate([self._batches, np.zeros(len(missing), np.int32)])
         return np.fromiter(map(place.__getitem__, words), np.int32, len(words))
 
-    def _one_by_one(self, text: str) -> np.ndarray:
+    def _is_odd(self, word: str) -> bool:
+        """Whether white space next to the word makes it unsafe to cut there."""
+        if word[:1] == FIRST:
+            return len(word) > 1 and word[-1].isspace()
+        return not word or word[-1].isspace() or word[0].isspace()
+
+    def _one_by_one(self, text: str, end: list[int]) -> np.ndarray:
         """A text with more than single spaces between its words."""
-        places = self._places(_BORDER.split(text))
-        return np.concatenate([self._ids[self._starts[p] : self._starts[p + 1]] for p in places])
+        places = self._places(self._split(text))
+        parts = [self._ids[self._starts[p] : self._starts[p + 1]] for p in places]
+        return np.concatenate([*parts, np.array(end, np.uint32)])
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and where each text starts (one more at the end)."""
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text starts (one more at the end).
+
+        With ``end_id`` every text ends with that id.
+        """
         texts = as_text(texts)
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        if len(self._place) > REMEMBERED_WORDS:
-            self._clear()
+        if len(self._place) > REMEMBERED_WORDS // self._shares:
+            self._forget()
         pieces = pc.split_pattern(texts, " ")
         borders = pieces.offsets.to_numpy().astype(np.int64)
         words = pieces.flatten().dictionary_encode()
         distinct = words.dictionary.to_pylist()
         indices = words.indices.to_numpy()
-        spaced = [" " + w for w in distinct] if self._spaces else distinct
-        places = self._places(spaced)[indices]
+        own = self._places(distinct)
+        self._batches[own] += 1
+        places = own[indices]
         odd = np.zeros(len(texts), bool)
         if self._spaces:
             # The first word of a text has no space before it.
-            places[borders[:-1]] = self._places([distinct[i] for i in indices[borders[:-1]]])
-            odd = np.logical_or.reduceat(self._odd[places], borders[:-1])
-        length_of = np.diff(self._starts)
-        lengths = length_of[places]
-        lengths[np.repeat(odd, np.diff(borders))] = 0
-        ends = np.zeros(len(places) + 1, np.int64)
+            places[borders[:-1]] = self._places([FIRST + distinct[i] for i in indices[borders[:-1]]])
+            unsafe = self._odd[places]
+            if unsafe.any():
+                odd = np.logical_or.reduceat(unsafe, borders[:-1])
+        lengths = np.diff(self._starts).astype(np.int32)[places]
+        starts = self._starts[places]
+        if odd.any():
+            lengths[np.repeat(odd, np.diff(borders))] = 0
+        ids = self._ids
+        if end_id is not None:
+            # One more word at the end of each text.
+            starts = np.insert(starts, borders[1:], len(ids))
+            lengths = np.insert(lengths, borders[1:], np.where(odd, 0, 1))
+            ids = np.append(ids, np.uint32(end_id))
+            borders = borders + np.arange(len(borders))
+        ends = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(lengths, out=ends[1:])
-        at = np.repeat(self._starts[places] - ends[:-1], lengths)
-        at += np.arange(ends[-1])
-        ids, ends = self._ids[at], ends[borders]
+        at = np.repeat((starts - ends[:-1]).astype(np.int32), lengths)
+        at += np.arange(ends[-1], dtype=np.int32)
+        ids, ends = ids[at], ends[borders]
         if odd.any():
+            end = [] if end_id is None else [end_id]
             parts = np.split(ids, ends[1:-1])
             for i in np.flatnonzero(odd):
-                parts[i] = self._one_by_one(texts[int(i)].as_py())
+                parts[i] = self._one_by_one(texts[int(i)].as_py(), end)
             ids = np.concatenate(parts)
             ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         return ids, ends
 
 
+class WordEncoder(WordMemory):
+    """Encodes texts with a tokenizers file.
+
+    With ``spaces`` it is a byte-level one; without, letters are lower-cased.
+    """
+
+    def __init__(self, path: str, spaces: bool):
+        super().__init__(spaces)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self._tokenizer = Tokenizer.from_file(path)
+        # Names of special tokens in a text are ordinary text.
+        self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        self._table = _byte_letters()
+
+    def _clear(self) -> None:
+        super()._clear()
+        self._parts: dict[str, list[int]] = {}
+
+    def _part(self, text: str) -> list[int]:
+        """Ids of one part that the vocabulary's pattern does not cut further."""
+        found = self._parts.get(text)
+        if found is None:
+            mapped = text.encode("utf-8").decode("latin-1").translate(self._table)
+            found = self._parts[text] = [t.id for t in self._model.tokenize(mapped)]
+        return found
+
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        found: list[list[int] | None] = []
+        rest: list[str] = []
+        for word in map(self._spelt, words):
+            plain = _PLAIN.fullmatch(word)
+            if plain is None:
+                rest.append(word)
+                found.append(None)
+                continue
+            letters = plain[1] if self._spaces else plain[1].lower()
+            ids = self._part(letters)
+            found.append(ids + self._part(plain[2]) if plain[2] else ids)
+        others = iter(self._tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(others).ids if ids is None else ids for ids in found]
+
+
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
