@@ -7,6 +7,7 @@ from folia.llm import (
     flatgraph,
     language,
     packing,
+    pieces,
     pii,
     setjoin,
     sharding,
@@ -35,6 +36,11 @@ def op3_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "class_id", "n_links", "kept")
 
 
+def op4_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language.train(docs)
@@ -88,6 +94,7 @@ QUERIES = {
     "op1_flat_graph": op1_flat_graph,
     "op2_vector_packing": op2_vector_packing,
     "op3_chosen_path_join": op3_chosen_path_join,
+    "op4_merge_dropout": op4_merge_dropout,
     "op5_language": op5_language,
     "op6_token_files": op6_token_files,
     "op7_repeated_strings": op7_repeated_strings,
