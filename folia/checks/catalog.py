@@ -1015,7 +1015,6 @@ def notify_stream(spark, sf_dir):
         views.extracted(spark, sf_dir).drop("doc_id"),
         f"{path}/results",
         f"{path}/checkpoint",
-        raise_failures=False,
         availableNow=True,
     )
     query.awaitTermination()

@@ -13,7 +13,8 @@ class Settings:
     chunk_overlap: int = 200
     embedding_dimensions: int = 768
     vector_table: str = "document_chunks"
-    max_files_per_run: int = 50
+    # ``None``: all pending files.
+    max_files_per_run: int | None = 50
     top_k: int = 10
 
     def __post_init__(self):
@@ -27,5 +28,8 @@ class Settings:
         for field in fields(cls):
             value = os.environ.get(field.name.upper())
             if value is not None:
-                given[field.name] = field.type(value)
+                if field.name == "max_files_per_run":
+                    given[field.name] = int(value) if value else None
+                else:
+                    given[field.name] = field.type(value)
         return cls(**given)

@@ -37,7 +37,9 @@ def dead_letter_path(name: Column) -> Column:
 
 def iso_utc(moment: Column, zone: str = "+00:00") -> Column:
     """ISO 8601 text in UTC whatever the session zone; fractions only where there are any."""
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+    # Counted from the epoch: local time is ambiguous in the hour when clocks are set back.
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)
     text = F.replace(utc.cast("string"), F.lit(" "), F.lit("T"))
     return F.concat(
         F.when(F.contains(text, F.lit(".")), F.rpad(text, 26, "0")).otherwise(text),

@@ -1,17 +1,14 @@
 """Bookkeeping of scheduled runs: what is pending, what came out, what failed."""
 
-from pyspark.sql import DataFrame, functions as F
+import time
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folia.functions.naming import dead_letter_path
 from folia.operators.documents import NOT_EXTRACTED
 from folia.session import materialise
 from folia.sources.objects import pdfs, without_control_files
 
-# A list of at most so many files is pushed into the scan, or sent to every task.
-MAX_PUSHED_FILES = 1_000
-MAX_BROADCAST_FILES = 100_000
-
-
 def pending_files(listing: DataFrame, processed: DataFrame) -> DataFrame:
     """PDFs outside the control folder whose URI is not in the index.
 
@@ -21,38 +18,26 @@ def pending_files(listing: DataFrame, processed: DataFrame) -> DataFrame:
     return eligible.join(processed.select("uri"), "uri", "left_anti")
 
 
-def capped(pending: DataFrame, max_files: int) -> DataFrame:
-    """The first files of a run, in listing order."""
-    return pending.orderBy("name").limit(max_files)
+def capped(pending: DataFrame, max_files: int | None) -> DataFrame:
+    """The first files of a run, in listing order; all of them without a number."""
+    return pending if max_files is None else pending.orderBy("name").limit(max_files)
 
 
-def discovery_counts(pending: DataFrame, max_files: int) -> DataFrame:
-    return pending.agg(
-        F.count("*").alias("pending"),
-        F.least(F.count("*"), F.lit(max_files)).alias("taken"),
-    )
+def discovery_counts(pending: DataFrame, max_files: int | None) -> DataFrame:
+    taken = F.count("*") if max_files is None else F.least(F.count("*"), F.lit(max_files))
+    return pending.agg(F.count("*").alias("pending"), taken.alias("taken"))
 
 
 def attach_extracted(files: DataFrame, extracted: DataFrame) -> DataFrame:
     """The extracted document of every file; files without one get an error.
 
-    How the documents are found depends on the number of files, which is looked up
-    first: a short list of URIs is pushed into the scan, a longer one is broadcast, and
-    beyond that both sides are joined by a shuffle.
+    The documents are joined with the list of files, which Spark sends to all tasks if it
+    is small enough; which files have no document is found by the URIs alone.
     """
     wanted = materialise(files.select("uri", "name"), "wanted")
-    number = wanted.count()
     documents = extracted.drop("name")
-    if number > MAX_BROADCAST_FILES:
-        marked = documents.withColumn("_found", F.lit(True))
-        joined = wanted.join(marked, "uri", "left")
-        error = F.when(F.col("_found").isNull(), NOT_EXTRACTED).otherwise(F.col("error"))
-        return joined.withColumn("error", error).drop("_found")
-    if number <= MAX_PUSHED_FILES:
-        documents = documents.where(F.col("uri").isin([row["uri"] for row in wanted.collect()]))
-    found = documents.join(F.broadcast(wanted), "uri")
     missing = wanted.join(documents.select("uri"), "uri", "left_anti")
-    return found.unionByName(
+    return documents.join(wanted, "uri").unionByName(
         missing.withColumn("error", F.lit(NOT_EXTRACTED)), allowMissingColumns=True
     )
 
@@ -89,6 +74,24 @@ def dead_letters(results: DataFrame) -> DataFrame:
     )
 
 
+def write_dead_letters(results: DataFrame, path: str, run: str) -> None:
+    """Write the failures of a run; repeating the run replaces them."""
+    stamped = dead_letters(results).withColumn("written_at", F.lit(time.time_ns() // 1000))
+    stamped.write.mode("overwrite").json(f"{path}/run={run}")
+
+
+def current_dead_letters(spark: SparkSession, path: str, processed: DataFrame) -> DataFrame:
+    """The latest record of each failed file that has not been processed since."""
+    schema = "path string, record string, written_at long, run string"
+    written = spark.read.schema(schema).json(path)
+    order = F.struct("written_at", "run")
+    latest = written.groupBy("path").agg(F.max_by(F.struct("record", "run"), order).alias("last"))
+    current = latest.select("path", "last.*").withColumn(
+        "uri", F.get_json_object("record", "$.gcs_uri")
+    )
+    return current.join(processed.select("uri"), "uri", "left_anti").select("path", "record", "run")
+
+
 def run_summary(results: DataFrame) -> DataFrame:
     failed = F.col("status") != "success"
     return results.agg(

@@ -14,14 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from folia.session import scratch_path
+from folia.session import materialise
 
 # Decimals to which similarities are told apart.
 PRECISION = 9
-# Queries are shipped to every task; at most this many bytes at once.
-MAX_QUERY_BYTES = 64 * 1024 * 1024
-# Queries scored together within a task.
+# Queries, and vectors, that are scored together.
 _QUERY_BLOCK = 64
+_VECTOR_BLOCK = 256
 
 HIT_COLUMNS = ("id", "source", "filename", "chunk_index", "content", "metadata")
 
@@ -51,7 +50,6 @@ def similarity_search(
 
     ``vectors`` needs ``id``, ``embedding`` and the columns to return.
     """
-    kept = [name for name in dict.fromkeys(["id", *columns]) if name != "embedding"]
     target = np.asarray(query, dtype=np.float64)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,84 +67,97 @@ def similarity_search(
             yield _top(_joined(best), top_k)
 
     schema = T.StructType(
-        [vectors.schema[name] for name in kept] + [T.StructField("similarity", T.DoubleType())]
+        [vectors.schema["id"], T.StructField("similarity", T.DoubleType())]
     )
-    winners = vectors.select(*kept, "embedding").mapInArrow(score, schema)
-    return winners.orderBy(*best_first()).limit(top_k).select(*columns, "similarity")
+    winners = vectors.select("id", "embedding").mapInArrow(score, schema)
+    winners = winners.orderBy(*best_first()).limit(top_k)
+    more = [name for name in dict.fromkeys(columns) if name != "id"]
+    if not more:
+        return winners.select(*columns, "similarity")
+    # At most k rows, safe to broadcast; only their texts are passed on.
+    found = vectors.select("id", *more).join(F.broadcast(winners), "id")
+    return found.orderBy(*best_first()).limit(top_k).select(*columns, "similarity")
 
 
-def search_many(
-    vectors: DataFrame,
-    queries: DataFrame,
-    top_k: int = 10,
-    max_query_bytes: int = MAX_QUERY_BYTES,
-) -> DataFrame:
+def search_many(vectors: DataFrame, queries: DataFrame, top_k: int = 10) -> DataFrame:
     """The ``top_k`` of every query: ``query_id, rank, id, similarity``.
 
-    ``queries`` holds distinct ``query_id`` and ``embedding``. If they exceed the size
-    that may be shipped to the tasks, they are taken in slices, one pass each, and
-    the slices' results are gathered in a table; the result is the same.
+    ``queries`` holds distinct ``query_id`` and ``embedding``. Both sides are packed into
+    blocks of rows, and every block of queries meets every block of vectors in a task, so
+    there is one plan for any number of queries. Spark sends the blocks of queries to all
+    tasks if they are small enough. A task keeps the best k of each of its queries; Spark
+    cuts these to k again before and after the shuffle.
     """
-    spark = vectors.sparkSession
-    total, length = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    slices = max(1, -(-(total * (length or 0) * 8) // max_query_bytes))
-    if slices == 1:
-        return _search_slice(vectors, queries.collect(), queries.schema, top_k)
-    path = scratch_path(spark, "search")
-    for number in range(slices):
-        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
-        hits = _search_slice(vectors, part.collect(), queries.schema, top_k)
-        hits.write.mode("append").parquet(path)
-    return spark.read.schema(hits.schema).parquet(path)
-
-
-def _search_slice(
-    vectors: DataFrame, queries: list, schema: T.StructType, top_k: int
-) -> DataFrame:
-    spark = vectors.sparkSession
-    query_ids = [row["query_id"] for row in queries]
-    unit = _unit_rows(np.array([row["embedding"] for row in queries], dtype=np.float64))
-    shipped = spark.sparkContext.broadcast((query_ids, unit))
+    query_type, id_type = queries.schema["query_id"], vectors.schema["id"]
+    asked = materialise(_packed(queries, "query_id", _QUERY_BLOCK, "asked"), "queries")
+    pairs = _packed(vectors, "id", _VECTOR_BLOCK, "stored").crossJoin(asked)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, targets = shipped.value
-        best = [(np.empty(0, dtype=np.int64), np.empty(0)) for _ in names]
+        best: dict = {}
         for batch in batches:
-            rows, present = _matrix(batch.column("embedding"))
-            units = _unit_rows(rows).T
-            ids = batch.column("id").to_numpy()
-            for first in range(0, len(names), _QUERY_BLOCK):
-                block = targets[first : first + _QUERY_BLOCK]
-                scores = np.full((len(block), len(ids)), -np.inf)
-                if len(present):
-                    scores[:, present] = block @ units
-                for row, found in enumerate(scores, first):
+            for row in range(batch.num_rows):
+                names = batch.column("asked_ids")[row].values.to_pylist()
+                targets, ids = _block(batch, "asked", row), batch.column("stored_ids")[row].values.to_numpy()
+                present = batch.column("stored_present")[row].values.to_numpy(zero_copy_only=False)
+                scores = np.full((len(names), len(ids)), -np.inf)
+                if present.any():
+                    scores[:, present] = targets @ _block(batch, "stored", row).T
+                for name, found in zip(names, scores):
                     near = _best_positions(found, ids, top_k)
-                    known_ids, known = best[row]
+                    known_ids, known = best.get(name, (ids[:0], found[:0]))
                     all_ids = np.concatenate([known_ids, ids[near]])
                     all_scores = np.concatenate([known, found[near]])
                     keep = _best_positions(all_scores, all_ids, top_k)
-                    best[row] = (all_ids[keep], all_scores[keep])
-        for name, (ids, scores) in zip(names, best):
+                    best[name] = (all_ids[keep], all_scores[keep])
+        for name, (ids, scores) in best.items():
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name] * len(ids), type=query_type),
-                    pa.array(ids),
+                    pa.array([name] * len(ids), type=to_arrow_type(query_type.dataType)),
+                    pa.array(ids, type=to_arrow_type(id_type.dataType)),
                     pa.array(scores, mask=np.isneginf(scores), from_pandas=False),
                 ],
                 names=["query_id", "id", "similarity"],
             )
 
-    query_type = to_arrow_type(schema["query_id"].dataType)
-    output = T.StructType(
-        [schema["query_id"], vectors.schema["id"], T.StructField("similarity", T.DoubleType())]
-    )
-    found = vectors.select("id", "embedding").mapInArrow(score, output)
+    output = T.StructType([query_type, id_type, T.StructField("similarity", T.DoubleType())])
+    found = pairs.mapInArrow(score, output)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*best_first()))
     ranked = found.select("query_id", rank.alias("rank"), "id", "similarity")
     return ranked.where(F.col("rank") <= top_k)
 
 
+def _packed(frame: DataFrame, key: str, size: int, name: str) -> DataFrame:
+    """Rows of up to ``size`` ids and their unit vectors as one matrix each."""
+    schema = T.StructType(
+        [
+            T.StructField(f"{name}_ids", T.ArrayType(frame.schema[key].dataType)),
+            T.StructField(f"{name}_present", T.ArrayType(T.BooleanType())),
+            T.StructField(name, T.BinaryType()),
+            T.StructField(f"{name}_dims", T.IntegerType()),
+        ]
+    )
+    kinds = [to_arrow_type(field.dataType) for field in schema]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, size):
+                part = batch.slice(first, size)
+                rows, present = _matrix(part.column("embedding"))
+                there = np.zeros(part.num_rows, bool)
+                there[present] = True
+                unit = _unit_rows(rows).astype("<f8")
+                values = [part.column(key).to_pylist()], [there.tolist()], [unit.tobytes()], [unit.shape[1]]
+                arrays = [pa.array(v, kind) for v, kind in zip(values, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return frame.select(key, "embedding").mapInArrow(pack, schema)
+
+
+def _block(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    raw = np.frombuffer(batch.column(name)[row].as_buffer(), "<f8")
+    return raw.reshape(-1, max(1, batch.column(f"{name}_dims")[row].as_py()))
+
+
 def report(hits: DataFrame) -> DataFrame:
     """Hits as printed: rank, similarity to three decimals, a one-line preview."""
     # The hits of one search are at most k rows; more would not be printed.

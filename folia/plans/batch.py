@@ -14,10 +14,11 @@ from folia.sources.results import (
     keep_path_winners,
     read_results,
     result_chunks,
+    run_folder,
     with_output_path,
     write_results,
 )
-from folia.sources.vectors import ensure_table, store_chunks, vector_rows
+from folia.sources.vectors import Embed, ensure_table, store_chunks, vector_rows
 
 
 def select_pdfs(extracted: DataFrame, prefix: str = "") -> DataFrame:
@@ -52,12 +53,15 @@ def output_uris(files: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def embed_and_store(
-    processed: DataFrame, settings: Settings = Settings(), dedupe: bool = False
+    processed: DataFrame,
+    settings: Settings = Settings(),
+    dedupe: bool = False,
+    embed: Embed | None = None,
 ) -> None:
     """Append the chunks of processed documents to the vector table."""
     spark = processed.sparkSession
     ensure_table(spark, settings)
-    store_chunks(spark, result_chunks(processed), settings, dedupe)
+    store_chunks(spark, result_chunks(processed), settings, dedupe, embed)
 
 
 def stored_view(processed: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -83,18 +87,27 @@ def run_batch(
     store: bool = False,
     settings: Settings = Settings(),
     run: str | None = None,
+    dedupe: bool = False,
+    embed: Embed | None = None,
 ) -> BatchRun:
-    """Process a prefix; write the result records (if a path is given) and store the vectors."""
+    """Process a prefix; write the result records (if a path is given) and store the vectors.
+
+    ``outputs`` has the URI that names each result and, in ``stored_at``, the folder that
+    holds its record. ``embed`` is a model's step, see ``sources.vectors.vector_rows``.
+    """
+    run = run or run_name()
     processed = process_prefix(extracted, prefix, settings)
     files = result_files(select_pdfs(extracted, prefix))
     if store:
         # Both sinks, and the sampling that orders the ids, read the stored rows.
         processed = materialise(processed, "processed")
     if results_path:
-        write_results(keep_path_winners(processed, files), results_path, run or run_name())
+        write_results(keep_path_winners(processed, files), results_path, run)
     if store:
-        embed_and_store(processed, settings)
-    return BatchRun(processed, output_uris(files, settings))
+        embed_and_store(processed, settings, dedupe, embed)
+    stored_at = F.lit(run_folder(results_path, run) if results_path else None).cast("string")
+    outputs = output_uris(files, settings).withColumn("stored_at", stored_at)
+    return BatchRun(processed, outputs)
 
 
 def store_results(
@@ -102,7 +115,10 @@ def store_results(
     path: str,
     settings: Settings = Settings(),
     multi_line: bool = False,
+    dedupe: bool = False,
+    embed: Embed | None = None,
 ) -> None:
     """Embed and store the chunks of results written earlier."""
     ensure_table(spark, settings)
-    store_chunks(spark, result_chunks(read_results(spark, path, multi_line)), settings)
+    chunks = result_chunks(read_results(spark, path, multi_line))
+    store_chunks(spark, chunks, settings, dedupe, embed)

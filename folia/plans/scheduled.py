@@ -7,23 +7,27 @@ from folia.operators.documents import process, succeeded
 from folia.operators.runs import (
     attach_extracted,
     capped,
-    dead_letters,
     failures,
     outcomes,
     pending_files,
     successes,
+    write_dead_letters,
 )
 from folia.plans.batch import embed_and_store, run_name
 from folia.session import materialise
 from folia.sources.index import add_to_index, read_index
 from folia.sources.results import keep_path_winners, with_output_path, write_results
+from folia.sources.vectors import Embed
 
-# Names shown in the error of a run with failures.
-_NAMED_FAILURES = 20
+class FilesFailed(RuntimeError):
+    """Some files of a run failed; all bookkeeping was done before this was raised.
 
+    ``failures`` has the outcomes of all of them.
+    """
 
-class FilesFailed(RuntimeError):
-    """Some files of a run failed; all bookkeeping was done before this was raised."""
+    def __init__(self, message: str, failures: DataFrame):
+        super().__init__(message)
+        self.failures = failures
 
 
 def run_scheduled(
@@ -34,12 +38,16 @@ def run_scheduled(
     dead_letter_path: str,
     settings: Settings = Settings(),
     run: str | None = None,
+    dedupe: bool = False,
+    embed: Embed | None = None,
 ) -> DataFrame:
     """Process the pending files and return their outcomes.
 
-    Failures stay out of the index, so the next run tries them again.
+    Failures stay out of the index, so the next run tries them again. With ``dedupe`` a run
+    that broke off after storing its vectors can be repeated without storing them twice.
     """
     spark = listing.sparkSession
+    run = run or run_name()
     pending = pending_files(listing, read_index(spark, index_path))
     taken = capped(pending, settings.max_files_per_run)
     documents = attach_extracted(taken, extracted)
@@ -47,15 +55,14 @@ def run_scheduled(
     results = outcomes(processed)
 
     good = succeeded(processed)
-    write_results(keep_path_winners(good, good), results_path, run or run_name())
-    embed_and_store(good, settings)
+    write_results(keep_path_winners(good, good), results_path, run)
+    embed_and_store(good, settings, dedupe, embed)
     add_to_index(successes(results).selectExpr("gcs_uri AS uri"), index_path)
-    dead_letters(results).write.mode("append").json(dead_letter_path)
+    write_dead_letters(results, dead_letter_path, run)
 
     failed = failures(results)
     number = failed.count()
     if number:
-        shown = failed.select("filename").orderBy("filename").limit(_NAMED_FAILURES).collect()
-        names = [row["filename"] for row in shown]
-        raise FilesFailed(f"{number} file(s) failed processing, among them {names}")
+        where = f"{dead_letter_path}/run={run}"
+        raise FilesFailed(f"{number} file(s) failed processing in run {run}, see {where}", failed)
     return results

@@ -7,11 +7,12 @@ from folia.schemas import PROCESSED
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The processed URIs; a missing index is empty, unreadable files count as missing."""
+    """The processed URIs; a missing index is empty, an unreadable file is an error.
+
+    An index read in part would have files processed and stored again.
+    """
     try:
-        stored = (
-            spark.read.schema(PROCESSED).option("ignoreCorruptFiles", "true").parquet(path)
-        )
+        stored = spark.read.schema(PROCESSED).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -1,22 +1,34 @@
 """Listing of stored objects."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folia.functions.naming import is_control, is_pdf, iso_utc
-
-
-def list_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Objects below ``root`` as a listing; file contents are not read."""
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    )
+from folia.schemas import LISTING
+
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """Objects below ``root`` whose names start with ``prefix``; contents are not read.
+
+    Only the folder that the prefix names is listed. A prefix without objects gives none.
+    """
+    folder = prefix.rpartition("/")[0]
+    options = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    start = f"{root.rstrip('/')}/{folder}" if folder else root
+    try:
+        found = options.load(start)
+    except AnalysisException as missing:
+        if not folder or missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING)
     base = root.split("://", 1)[-1].rstrip("/") + "/"
-    return found.select(
+    listing = found.select(
         F.col("path").alias("uri"),
         F.substr("path", F.locate(base, F.col("path")) + len(base)).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("updated"),
     )
+    return under_prefix(listing, prefix)
 
 
 def under_prefix(listing: DataFrame, prefix: str = "") -> DataFrame:

@@ -1,10 +1,11 @@
 """Result records as JSON."""
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from folia.functions.naming import iso_utc, result_path
 from folia.schemas import LAYOUT_CHUNK, METADATA, TEXT_CHUNK
-from folia.session import materialise
 
 # Keys of the JSON record and the columns they hold.
 JSON_KEYS = {
@@ -19,9 +20,6 @@ JSON_KEYS = {
     "langchain_chunks": "text_chunks",
 }
 
-# Keys of overwritten results sent to every task, at most; more are joined by a shuffle.
-MAX_BROADCAST_KEYS = 100_000
-
 _RECORD = T.StructType(
     [
         T.StructField("source", T.StringType()),
@@ -37,12 +35,16 @@ _RECORD = T.StructType(
 )
 
 
+def stamped_metadata() -> Column:
+    """The metadata as stored: the time as ISO text, the same in every sink."""
+    moment = F.col("metadata.extracted_at")
+    return F.col("metadata").withField("extracted_at", iso_utc(moment.cast("timestamp"), "Z"))
+
+
 def record() -> Column:
     """The JSON record of a row of processed documents."""
-    stamped = F.col("metadata").withField(
-        "extracted_at", iso_utc(F.col("metadata.extracted_at"), "Z")
-    )
-    values = {**{key: F.col(column) for key, column in JSON_KEYS.items()}, "metadata": stamped}
+    values = {key: F.col(column) for key, column in JSON_KEYS.items()}
+    values["metadata"] = stamped_metadata()
     return F.struct(*(value.alias(key) for key, value in values.items()))
 
 
@@ -63,22 +65,11 @@ def path_winners(files: DataFrame) -> DataFrame:
 def keep_path_winners(processed: DataFrame, files: DataFrame) -> DataFrame:
     """Drop processed documents whose result another one of ``files`` overwrites.
 
-    Few files lose their path, so the losers are looked up first, by name only. Without
-    any, and with a list of them small enough to broadcast, the documents stay in place.
+    Few files lose their path, so the losers are looked up, by name only.
     """
     keys = ["output_path", "name"]
-    return _without(processed, files.select(keys).join(path_winners(files), keys, "left_anti"))
-
-
-def _without(frame: DataFrame, unwanted: DataFrame) -> DataFrame:
-    """The rows of ``frame`` whose keys are not among the, mostly few, unwanted ones."""
-    listed = materialise(unwanted, "unwanted")
-    number = listed.count()
-    if number == 0:
-        return frame
-    if number <= MAX_BROADCAST_KEYS:
-        listed = F.broadcast(listed)
-    return frame.join(listed, listed.columns, "left_anti")
+    losers = files.select(keys).join(path_winners(files), keys, "left_anti")
+    return processed.join(losers, keys, "left_anti")
 
 
 def path_collisions(files: DataFrame) -> DataFrame:
@@ -88,18 +79,38 @@ def path_collisions(files: DataFrame) -> DataFrame:
     return counted.where("files > 1")
 
 
+def run_folder(path: str, run: str) -> str:
+    """Where the records of a run are."""
+    return f"{path.rstrip('/')}/run={run}"
+
+
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}_manifest"
+
+
 def write_results(processed: DataFrame, path: str, run: str) -> None:
     """Write one JSON record per document under ``path``, as the results of ``run``.
 
-    Repeating a run replaces its own results. Among runs, the one with the largest
-    name holds the current result of an output path, see :func:`current_results`.
+    Repeating a run replaces its own results. A manifest beside the records has the output
+    paths of each run and when they were written: the last one written counts, see
+    :func:`current_results`. The name of a run only serves to replace it.
     """
     flat = processed.select("output_path", record().alias("r")).select("output_path", "r.*")
-    flat.write.mode("overwrite").json(f"{path}/run={run}")
+    flat.write.mode("overwrite").json(run_folder(path, run))
+    written = processed.select("output_path", F.lit(time.time_ns() // 1000).alias("written_at"))
+    written.write.mode("overwrite").parquet(f"{_manifest(path)}/run={run}")
 
 
 def current_results(spark: SparkSession, path: str) -> DataFrame:
-    """For every output path the result of the last run that wrote it."""
+    """For every output path the result written last.
+
+    Which run that was follows from the manifest alone; the records are read once.
+    """
+    manifest = spark.read.schema("output_path string, written_at long, run string").parquet(
+        _manifest(path)
+    )
+    order = F.struct("written_at", "run")
+    last = manifest.groupBy("output_path").agg(F.max_by("run", order).alias("run"))
     schema = T.StructType(
         [
             T.StructField("output_path", T.StringType()),
@@ -107,11 +118,9 @@ def current_results(spark: SparkSession, path: str) -> DataFrame:
             T.StructField("run", T.StringType()),
         ]
     )
-    written = spark.read.schema(schema).json(path)
     keys = ["output_path", "run"]
-    last = written.groupBy("output_path").agg(F.max("run").alias("run"))
-    replaced = written.select(keys).join(last, keys, "left_anti")
-    return _without(written, replaced).select(*keys, *_renamed())
+    written = spark.read.schema(schema).json(path)
+    return written.join(last, keys, "left_semi").select(*keys, *_renamed())
 
 
 def read_results(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -132,7 +141,7 @@ def result_chunks(results: DataFrame) -> DataFrame:
     exploded = results.select(
         "source",
         "filename",
-        F.to_json("metadata").alias("metadata"),
+        F.to_json(stamped_metadata()).alias("metadata"),
         F.posexplode("text_chunks").alias("position", "chunk"),
     )
     return exploded.select(

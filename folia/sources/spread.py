@@ -4,12 +4,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(frame: DataFrame, *keys: str) -> DataFrame:
-    """Repartition by keys if the scan has fewer partitions than there are cores.
+    """Repartition by keys, for the small tables of the registered queries.
 
-    The text functions cost far more than moving the text once. A scan with partitions
-    enough, as on any large table, stays as it is.
+    The text functions cost far more than moving the text once. The plans do not use this:
+    a large table has scan partitions enough.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartition(cores, *keys)
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, *keys)

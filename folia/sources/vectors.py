@@ -6,7 +6,7 @@ chunks twice, unless ``dedupe`` is asked for. Ids continue from the largest stor
 one, so appends must come from one writer at a time.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -15,6 +15,9 @@ from folia.functions.hashing import hash_embedding
 from folia.operators.ids import with_dense_ids
 from folia.schemas import VECTORS
 
+# A step that adds the vectors, such as ``embed_with_model`` with its model filled in.
+Embed = Callable[[DataFrame], DataFrame]
+
 _REQUIRED = ("source", "filename", "chunk_index", "content")
 
 
@@ -30,19 +33,26 @@ def ensure_table(
 
 
 def vector_rows(
-    chunks: DataFrame, dims: int, first_id: int = 1, dedupe_against: DataFrame | None = None
+    chunks: DataFrame,
+    dims: int,
+    first_id: int = 1,
+    dedupe_against: DataFrame | None = None,
+    embed: Embed | None = None,
 ) -> DataFrame:
     """Chunks as rows of the table, with ids in (source, chunk_index) order.
 
     ``chunks`` holds source, filename, chunk_index, content, metadata (NULL becomes
     ``{}``) and, if the vectors exist already, embedding; otherwise the content is
-    embedded, after the ids are assigned, so vectors are never shuffled.
+    embedded, after the ids are assigned, so vectors are never shuffled. ``embed`` adds
+    ``embedding`` to a frame with ``content``; without it, the feature hash is used.
     """
     if dedupe_against is not None:
         stored = dedupe_against.select("source", "chunk_index").distinct()
         chunks = chunks.join(stored, ["source", "chunk_index"], "left_anti")
     numbered = with_dense_ids(chunks, ["source", "chunk_index"], first_id)
-    if "embedding" in chunks.columns:
+    if embed is not None and "embedding" not in chunks.columns:
+        numbered = embed(numbered)
+    if "embedding" in numbered.columns:
         vector = _checked_size(F.col("embedding").cast("array<float>"), dims)
     else:
         vector = hash_embedding(F.col("content"), dims)
@@ -60,14 +70,16 @@ def store_chunks(
     chunks: DataFrame,
     settings: Settings = Settings(),
     dedupe: bool = False,
-) -> None:
-    """Append chunks to the table."""
+    embed: Embed | None = None,
+) -> int:
+    """Append chunks to the table; returns the id from which they are numbered."""
     stored = spark.table(settings.vector_table)
     last_id = stored.agg(F.max("id")).first()[0] or 0
     rows = vector_rows(
-        chunks, settings.embedding_dimensions, last_id + 1, stored if dedupe else None
+        chunks, settings.embedding_dimensions, last_id + 1, stored if dedupe else None, embed
     )
     rows.write.mode("append").insertInto(settings.vector_table)
+    return last_id + 1
 
 
 def store_chunk(
@@ -86,8 +98,7 @@ def store_chunk(
         [(source, filename, chunk_index, content, list(embedding), metadata)],
         T.StructType([VECTORS[name] for name in names]),
     )
-    store_chunks(spark, chunk, settings)
-    return spark.table(settings.vector_table).agg(F.max("id")).first()[0]
+    return store_chunks(spark, chunk, settings)
 
 
 def _not_null(name: str) -> Column:

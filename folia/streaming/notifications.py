@@ -3,6 +3,9 @@
 All steps work on batch and streaming DataFrames alike.
 """
 
+from threading import Event
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,19 +50,18 @@ def decode(messages: DataFrame) -> DataFrame:
 
     def bodies(text: Column) -> Column:
         # The parser stops at the end of a value. As the element of a list, text after the
-        # value shows up as bad JSON or as a second element. Only an object is wanted.
+        # value shows up as bad JSON or as a second element. Values may be of any kind, but
+        # only objects have fields; of repeated keys the last one counts.
+        fields = F.from_json(text, ", ".join(f"{key} STRING" for key in _BODY))
         is_object = text.rlike(r"\A\s*\{")
         return let(
-            F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
-            lambda json: F.when(
-                is_object & json.isNotNull() & field(json, "$[1]", "variant").isNull(),
-                F.array(F.struct(*(field(json, f"$[0].{key}").alias(key) for key in _BODY))),
+            F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"),
+            lambda values: F.when(
+                F.size(values) == 1,
+                F.array(F.when(is_object, fields)),
             ),
         )
 
-    def field(json: Column, path: str, kind: str = "string") -> Column:
-        return F.try_variant_get(json, path, kind)
-
     kept = [name for name in messages.columns if name != "data"]
     return messages.select(*kept, F.explode(let(_decoded(F.col("data")), bodies)).alias("body"))
 
@@ -110,7 +112,26 @@ def accepted(messages: DataFrame) -> DataFrame:
 
 
 class ObjectsFailed(RuntimeError):
-    """Objects of a micro-batch failed; the engine will run the batch again."""
+    """Objects of a micro-batch failed; ``failures`` has them, with their errors."""
+
+    def __init__(self, message: str, failures: DataFrame):
+        super().__init__(message)
+        self.failures = failures
+
+
+def _failed_path(results_path: str, query: str, batch_id: int) -> str:
+    return f"{results_path.rstrip('/')}_failed/query={query}/batch={batch_id}"
+
+
+def failed_objects(spark: SparkSession, results_path: str, query: str, batch_id: int) -> DataFrame:
+    """``uri, name, error`` of the objects that had failed after a micro-batch."""
+    schema = "uri STRING, name STRING, error STRING"
+    try:
+        return spark.read.schema(schema).parquet(_failed_path(results_path, query, batch_id))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def process_batch(
@@ -119,23 +140,32 @@ def process_batch(
     extracted: DataFrame,
     results_path: str,
     settings: Settings = Settings(),
-    raise_failures: bool = True,
+    raise_failures: bool = False,
+    query: str = "batch",
 ) -> None:
     """Process the objects of a micro-batch and write their results.
 
     However often an object is announced, it is processed once per batch. Results are
-    keyed by the batch, so a repeated batch replaces its own results.
+    keyed by the streaming query and the batch, so a repeated batch replaces its own
+    results and no other query's. Objects that fail are written beside the results and
+    tried again with the next batch; with ``raise_failures`` the batch fails instead.
     """
-    announced = objects.select("uri", "name").dropDuplicates(["uri"])
-    documents = attach_extracted(announced, extracted)
+    spark = objects.sparkSession
+    announced = objects.select("uri", "name")
+    if batch_id > 0:
+        again = failed_objects(spark, results_path, query, batch_id - 1).select("uri", "name")
+        announced = announced.unionByName(again)
+    documents = attach_extracted(announced.dropDuplicates(["uri"]), extracted)
     processed = materialise(with_output_path(process(documents, settings)), "processed")
     good = succeeded(processed)
-    write_results(keep_path_winners(good, good), results_path, f"{batch_id:012d}")
+    write_results(keep_path_winners(good, good), results_path, f"{query}-{batch_id:012d}")
+    failed = processed.where(F.col("error").isNotNull())
+    failed = failed.select(F.col("source").alias("uri"), "name", "error")
     if raise_failures:
-        failed = processed.where(F.col("error").isNotNull())
         number = failed.count()
         if number:
-            raise ObjectsFailed(f"{number} object(s) failed, among them {failed.first().source}")
+            raise ObjectsFailed(f"{number} object(s) failed in batch {batch_id}", failed)
+    failed.write.mode("overwrite").parquet(_failed_path(results_path, query, batch_id))
 
 
 def start_processing(
@@ -144,15 +174,22 @@ def start_processing(
     results_path: str,
     checkpoint_path: str,
     settings: Settings = Settings(),
-    raise_failures: bool = True,
+    raise_failures: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Start the query; give a trigger such as ``availableNow=True``."""
+    started = Event()
+    ids: list[str] = []
 
     def handle(objects: DataFrame, batch_id: int) -> None:
-        process_batch(objects, batch_id, extracted, results_path, settings, raise_failures)
+        # The query's id stays the same from restart to restart, and differs between queries.
+        started.wait()
+        process_batch(objects, batch_id, extracted, results_path, settings, raise_failures, ids[0])
 
     writer = accepted(messages).writeStream.foreachBatch(handle)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.option("checkpointLocation", checkpoint_path).start()
+    query = writer.option("checkpointLocation", checkpoint_path).start()
+    ids.append(query.id)
+    started.set()
+    return query

@@ -25,7 +25,7 @@ def test_random_texts_as_without_spark(apply):
 
 
 def test_long_runs_overlap(apply):
-    words = " ".join(["word"] * 500)
+    words = " ".join(["tide"] * 500)
     assert [len(c) for c in chunked(apply, [words], 512, 64)[0]] == [509] * 5 + [249]
 
 
@@ -45,7 +45,7 @@ def test_edges(apply):
 
 
 def test_pieces_rebuild_the_text(apply):
-    texts = ["One. Two! Three? " * 20, "a;b,c d\n\n\ne" * 30, ";\x01;" * 50]
+    texts = ["Ebb. Flow! Slack? " * 20, "a;b,c d\n\n\ne" * 30, ";\x01;" * 50]
     pieces = apply(lambda text: split_pieces(text, 16), texts)
     assert ["".join(p) for p in pieces] == texts
 
@@ -57,20 +57,20 @@ def test_overlap_larger_than_size_is_an_error():
 
 def test_chunk_rows(spark):
     frame = spark.createDataFrame(
-        [(1, "Hello world.", "test.txt"), (2, "Some text.", None), (3, "Other.", ""), (4, "", "e")],
+        [(1, "Low tide now", "log.txt"), (2, "Ebb & flow", None), (3, "Calm..", ""), (4, "", "e")],
         "doc INT, text STRING, source STRING",
     )
     rows = chunk_rows(frame, "text", "source", Settings(chunk_size=512, chunk_overlap=64))
     assert sorted(map(tuple, rows.collect())) == [
-        (1, 0, "Hello world.", 12, "test.txt"),
-        (2, 0, "Some text.", 10, "unknown"),
-        (3, 0, "Other.", 6, "unknown"),
+        (1, 0, "Low tide now", 12, "log.txt"),
+        (2, 0, "Ebb & flow", 10, "unknown"),
+        (3, 0, "Calm..", 6, "unknown"),
     ]
     assert chunk_rows_with_overlap is chunk_rows
 
 
 def test_indices_are_sequential(spark):
-    text = "\n\n".join(f"Paragraph {i}." for i in range(20))
+    text = "\n\n".join(f"Entry no. {i};" for i in range(20))
     frame = spark.createDataFrame([(text, "s")], "text STRING, source STRING")
     rows = chunk_rows(frame, "text", "source", Settings(chunk_size=40, chunk_overlap=16)).collect()
     assert sorted(r.chunk_index for r in rows) == list(range(len(rows)))

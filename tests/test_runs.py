@@ -1,5 +1,7 @@
 """Batch and scheduled runs, bookkeeping, results."""
 
+import dataclasses
+import functools
 import json
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from folia.config import Settings
 from folia.functions import naming
 from folia.operators import runs
+from folia.operators.embedding import embed_with_model
 from folia.operators.documents import NOT_EXTRACTED, process
 from folia.plans import batch
 from folia.plans.scheduled import FilesFailed, run_scheduled
@@ -97,6 +100,10 @@ def test_iso_utc_in_any_zone(spark):
             spark.conf.set("spark.sql.session.timeZone", other)
             text = spark.range(1).select(naming.iso_utc(moment)).first()[0]
             assert text == "2024-01-01T00:00:00.120000+00:00"
+            # The second time the clock shows half past one.
+            twice = F.timestamp_micros(F.lit(1_730_615_400_000_000))
+            text = spark.range(1).select(naming.iso_utc(twice, "Z")).first()[0]
+            assert text == "2024-11-03T06:30:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
@@ -109,6 +116,10 @@ def test_list_objects(spark, tmp_path):
     assert {r.name: r.size for r in found.collect()} == dict.fromkeys(
         ["a.pdf", "docs/B.PDF", "docs/c.txt"], 5
     )
+    pushed = objects.list_objects(spark, str(tmp_path), "docs/B")
+    assert [r.name for r in pushed.collect()] == ["docs/B.PDF"]
+    assert pushed.inputFiles() and all("/docs/" in f for f in pushed.inputFiles())
+    assert objects.list_objects(spark, str(tmp_path), "none/x").count() == 0
     # Spark's own file listing hides names that start with an underscore.
     eligible = objects.without_control_files(objects.pdfs(found))
     assert {r.name for r in eligible.collect()} == {"a.pdf", "docs/B.PDF"}
@@ -118,20 +129,19 @@ def test_list_objects(spark, tmp_path):
     assert (unknown.size, unknown.updated) == (0, "")
 
 
-@pytest.mark.parametrize("broadcast", [results.MAX_BROADCAST_KEYS, 0])
-def test_results_round_trip_and_overwriting(spark, tmp_path, monkeypatch, broadcast):
-    monkeypatch.setattr(results, "MAX_BROADCAST_KEYS", broadcast)
+def test_results_round_trip_and_overwriting(spark, tmp_path):
     path = str(tmp_path / "results")
     documents = extracted(spark, ("a/x.pdf", "first", LAYOUT, None), ("b/x.pdf", "second", [], None))
-    batch.run_batch(documents, path, run="1")
+    outputs = batch.run_batch(documents, path, run="9").outputs
+    assert {r.stored_at for r in outputs.collect()} == {f"{path}/run=9"}
     current = results.current_results(spark, path).collect()
     assert [r.source for r in current] == [BUCKET + "b/x.pdf"]
-    batch.run_batch(extracted(spark, ("c/x.pdf", "third", [], None)), path, run="2")
+    batch.run_batch(extracted(spark, ("c/x.pdf", "third", [], None)), path, run="10")
     row = results.current_results(spark, path).first()
-    assert (row.source, row.run, row.output_path) == (BUCKET + "c/x.pdf", "2", "results/x.json")
+    assert (row.source, row.run, row.output_path) == (BUCKET + "c/x.pdf", "10", "results/x.json")
     assert row.metadata.extracted_at.endswith("Z")
     # The earlier run is still there, and repeating a run replaces it.
-    batch.run_batch(documents, path, run="1")
+    batch.run_batch(documents, path, run="9")
     assert results.read_results(spark, path).count() == 2
 
 
@@ -176,7 +186,8 @@ def test_index(spark, tmp_path):
     for file in (tmp_path / "compact").glob("*.parquet"):
         file.write_bytes(b"not a table")
         (tmp_path / "compact" / f".{file.name}.crc").unlink()
-    assert index.read_index(spark, str(tmp_path / "compact")).count() == 0
+    with pytest.raises(Exception, match="not a Parquet file|CANNOT_READ_FILE"):
+        index.read_index(spark, str(tmp_path / "compact")).count()
 
 
 def test_pending(spark):
@@ -185,6 +196,8 @@ def test_pending(spark):
     pending = runs.pending_files(files, done)
     assert [r.name for r in runs.capped(pending, 2).collect()] == ["b.pdf", "e.PDF"]
     assert runs.discovery_counts(pending, 2).first()[:] == (3, 2)
+    assert runs.capped(pending, None).count() == 3
+    assert runs.discovery_counts(pending, None).first()[:] == (3, 3)
 
 
 def test_scheduled_runs(spark, tmp_path, settings):
@@ -195,8 +208,16 @@ def test_scheduled_runs(spark, tmp_path, settings):
     files = listing(spark, "a.pdf", "b.pdf", "c.pdf", "d.pdf", "e.pdf")
     paths = [str(tmp_path / name) for name in ("index", "results", "dead")]
 
-    with pytest.raises(FilesFailed, match=r"2 file.*b\.pdf.*c\.pdf"):
-        run_scheduled(files, documents, *paths, settings)
+    with pytest.raises(FilesFailed, match="2 file.*run one.*dead/run=one") as failed:
+        run_scheduled(files, documents, *paths, settings, run="one")
+    assert {r.filename for r in failed.value.failures.collect()} == {"b.pdf", "c.pdf"}
+    with pytest.raises(FilesFailed):
+        run_scheduled(files.where("name > 'a' AND name < 'd'"), documents, *paths, settings, run="two")
+    done = index.read_index(spark, paths[0])
+    letters = runs.current_dead_letters(spark, paths[2], done).collect()
+    assert {r.path: r.run for r in letters} == dict.fromkeys(
+        ["failed/b.pdf.error.json", "failed/c.pdf.error.json"], "two"
+    )
     done = {r.uri for r in index.read_index(spark, paths[0]).collect()}
     assert done == {BUCKET + "a.pdf"}
     dead = {r.path: json.loads(r.record) for r in spark.read.json(paths[2]).collect()}
@@ -226,10 +247,32 @@ def test_scheduled_runs(spark, tmp_path, settings):
     assert stored.count() == stored.agg(F.max("id")).first()[0]
 
 
-@pytest.mark.parametrize("pushed, broadcast", [(10, 10), (0, 10), (0, 0)])
-def test_attach_extracted(spark, monkeypatch, pushed, broadcast):
-    monkeypatch.setattr(runs, "MAX_PUSHED_FILES", pushed)
-    monkeypatch.setattr(runs, "MAX_BROADCAST_FILES", broadcast)
+def test_many_failures_are_all_told(spark, tmp_path, settings):
+    files = listing(spark, *(f"{i:02}.pdf" for i in range(25)))
+    with pytest.raises(FilesFailed) as failed:
+        run_scheduled(
+            files, extracted(spark), *(str(tmp_path / n) for n in "ird"),
+            dataclasses.replace(settings, max_files_per_run=None),
+        )
+    assert failed.value.failures.count() == 25
+
+
+def test_a_model_in_the_plans(spark, tmp_path, settings):
+    def lengths():
+        return lambda texts: [[float(len(t))] * 16 for t in texts]
+
+    embed = functools.partial(embed_with_model, text="content", load_model=lengths)
+    documents = extracted(spark, ("a.pdf", TEXT, [], None), ("bad.pdf", None, None, "bad"))
+    batch.run_batch(documents, str(tmp_path / "r"), store=True, settings=settings, embed=embed)
+    batch.run_batch(documents, None, store=True, settings=settings, embed=embed, dedupe=True)
+    rows = spark.table(settings.vector_table).collect()
+    assert rows and all(list(r.embedding) == [float(len(r.content))] * 16 for r in rows)
+    assert len({(r.source, r.chunk_index) for r in rows}) == len(rows)
+    records = {json.dumps(r.metadata.asDict(), sort_keys=True) for r in results.current_results(spark, str(tmp_path / "r")).collect()}
+    assert all(json.loads(r.metadata)["extracted_at"].endswith("Z") for r in rows) and records
+
+
+def test_attach_extracted(spark):
     documents = extracted(spark, ("a.pdf", "x", [], None), ("b.pdf", None, None, "bad"))
     found = runs.attach_extracted(listing(spark, "a.pdf", "b.pdf", "c.pdf"), documents)
     processed = results.with_output_path(process(found))

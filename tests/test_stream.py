@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from folia.plans import batch
 from folia.schemas import EXTRACTED, NOTIFICATION
 from folia.sources import results
 from folia.streaming import notifications as notes
@@ -35,7 +36,10 @@ CASES = [
     ({**message(), "data": ""}, None),
     ({**message(), "data": None}, None),
     (message(body="no json"), None),
-    (message(body="[1]"), None),
+    # Any JSON value will do where the attributes are complete.
+    *((message(body=body), "gs://raw/doc.pdf") for body in ("[1]", '"x"', "5", "null", '{"a":NaN}', '{"a":1,"a":2}')),
+    (message(body='{"name":"no.txt","name":"yes.pdf","bucket":"raw"}', bucketId="", objectId=""), "gs://raw/yes.pdf"),
+    (message(body="[1]", bucketId=""), None),
     (message(body='{"name":'), None),
     (message(body='{"name": "x"} y'), None),
     (message(body='{"name": "x"}, {"name": "y"}'), None),
@@ -63,16 +67,17 @@ def extracted(spark, *names):
     return spark.createDataFrame(rows, EXTRACTED)
 
 
-def run(spark, tmp_path, documents, **options):
+def run(spark, tmp_path, documents, checkpoint="checkpoint", source="in", **options):
     query = notes.start_processing(
-        notes.notification_stream(spark, str(tmp_path / "in")),
+        notes.notification_stream(spark, str(tmp_path / source)),
         documents,
         str(tmp_path / "results"),
-        str(tmp_path / "checkpoint"),
+        str(tmp_path / checkpoint),
         availableNow=True,
         **options,
     )
     query.awaitTermination()
+    return query
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
@@ -93,10 +98,41 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     assert current["results/doc.json"] == "gs://raw/c/doc.pdf"
 
 
-def test_failures_stop_the_stream_and_are_tried_again(spark, tmp_path):
+def current(spark, tmp_path):
+    rows = results.current_results(spark, str(tmp_path / "results")).collect()
+    return {r.output_path: r.source for r in rows}
+
+
+def test_failures_can_stop_the_stream_and_are_tried_again(spark, tmp_path):
     write(tmp_path / "in", [message(), message(name="late.pdf")])
     with pytest.raises(StreamingQueryException, match="1 object"):
-        run(spark, tmp_path, extracted(spark, "doc.pdf"))
-    run(spark, tmp_path, extracted(spark, "doc.pdf", "late.pdf"))
+        run(spark, tmp_path, extracted(spark, "doc.pdf"), raise_failures=True)
+    run(spark, tmp_path, extracted(spark, "doc.pdf", "late.pdf"), raise_failures=True)
     rows = results.read_results(spark, str(tmp_path / "results"))
     assert rows.count() == 2
+
+
+def test_a_failed_object_is_tried_again_with_the_next_batch(spark, tmp_path):
+    write(tmp_path / "in", [message(), message(name="late.pdf")], "one")
+    query = run(spark, tmp_path, extracted(spark, "doc.pdf"))
+    failed = notes.failed_objects(spark, str(tmp_path / "results"), query.id, 0)
+    assert [r.uri for r in failed.collect()] == ["gs://raw/late.pdf"]
+    write(tmp_path / "in", [message(name="new.pdf")], "two")
+    query = run(spark, tmp_path, extracted(spark, "doc.pdf", "late.pdf", "new.pdf"))
+    assert notes.failed_objects(spark, str(tmp_path / "results"), query.id, 1).count() == 0
+    assert set(current(spark, tmp_path)) == {"results/doc.json", "results/late.json", "results/new.json"}
+
+
+def test_streams_and_batches_on_one_folder(spark, tmp_path):
+    documents = extracted(spark, "a.pdf", "b.pdf", "x/b.pdf")
+    write(tmp_path / "one", [message(name="a.pdf")])
+    write(tmp_path / "two", [message(name="b.pdf")])
+    run(spark, tmp_path, documents, "first", "one")
+    run(spark, tmp_path, documents, "second", "two")
+    assert set(current(spark, tmp_path)) == {"results/a.json", "results/b.json"}
+    # Whatever the runs are called, the result written last counts.
+    batch.run_batch(documents.where("name = 'x/b.pdf'"), str(tmp_path / "results"), run="2026")
+    assert current(spark, tmp_path)["results/b.json"] == "gs://raw/x/b.pdf"
+    write(tmp_path / "two", [message(name="b.pdf")], "again")
+    run(spark, tmp_path, documents, "second", "two")
+    assert current(spark, tmp_path)["results/b.json"] == "gs://raw/b.pdf"
