@@ -233,10 +233,12 @@ def doc_summary(spark, sf_dir):
     "result_json",
     sql.with_ctes(
         *sql.PROCESSED_CHUNKS,
-        "first_chunks AS (SELECT doc_id, content AS first_chunk FROM chunks WHERE chunk_index = 0)",
+        """joined AS (SELECT doc_id, string_agg(content, '|' ORDER BY chunk_index) AS contents
+            FROM chunks GROUP BY doc_id)""",
         """SELECT source, filename, raw_char_count, word_count, language,
-        layout_chunk_count AS layout_count, text_chunk_count AS text_count, first_chunk
-        FROM processed LEFT JOIN first_chunks USING (doc_id)""",
+        layout_chunk_count AS layout_count, text_chunk_count AS text_count,
+        coalesce(contents, '') AS contents
+        FROM processed LEFT JOIN joined USING (doc_id)""",
     ),
 )
 def result_json(spark, sf_dir):
@@ -253,7 +255,7 @@ def result_json(spark, sf_dir):
         "r.metadata.language",
         F.col("r.docai_chunks_count").alias("layout_count"),
         F.col("r.langchain_chunks_count").alias("text_count"),
-        F.get("r.langchain_chunks", F.lit(0))["content"].alias("first_chunk"),
+        F.coalesce(F.array_join("r.langchain_chunks.content", "|"), F.lit("")).alias("contents"),
     )
 
 
@@ -575,7 +577,7 @@ def store_one(spark, sf_dir):
         *sql.STORED,
         *sql.weight_ctes("stored", "id", "content", SETTINGS.embedding_dimensions, "weights"),
         """nonzero AS (SELECT id, count(*) AS words, max(n) AS top_count FROM weights_counts GROUP BY id)""",
-        f"""SELECT s.id, s.source, s.chunk_index, length(s.content) AS char_count,
+        f"""SELECT s.id, s.source, s.chunk_index, md5(s.content) AS content_md5,
         {SETTINGS.embedding_dimensions}::BIGINT AS dims, coalesce(n.words, 0) AS nonzero, d.language
         FROM stored s LEFT JOIN nonzero n USING (id) JOIN described d ON d.source = s.source""",
     ),
@@ -588,7 +590,7 @@ def process_embed_store(spark, sf_dir):
         "id",
         "source",
         "chunk_index",
-        F.length("content").alias("char_count"),
+        F.md5(F.encode("content", "UTF-8")).alias("content_md5"),
         F.size("embedding").alias("dims"),
         nonzero.alias("nonzero"),
         F.get_json_object("metadata", "$.language").alias("language"),
@@ -731,18 +733,33 @@ def similarity_search_batch(spark, sf_dir):
     return _rounded(search.search_many(table, queries))
 
 
-@register("ann_search")
-def ann_search(spark, sf_dir):
-    """Approximate: which hits are found depends on the hashing.
+ANN_LISTS, ANN_PROBES = 32, 12
+
 
-    The given vectors have no close neighbours, so the cells are chosen large.
-    """
+@register(
+    "ann_search",
+    sql.with_ctes(
+        _ASKED_VECTOR,
+        _VECTORS,
+        f"""centres AS (SELECT embedding AS centre, md5(vec_id::VARCHAR) AS hash FROM embeddings
+            ORDER BY hash, vec_id LIMIT {ANN_LISTS})""",
+        """placed AS (SELECT id, arg_max(hash, list_cosine_similarity(embedding::DOUBLE[], centre::DOUBLE[])) AS list
+            FROM vectors, centres GROUP BY id)""",
+        f"""probed AS (SELECT hash FROM centres, asked
+            ORDER BY list_cosine_similarity(centre::DOUBLE[], q::DOUBLE[]) DESC LIMIT {ANN_PROBES})""",
+        f"""hits AS (SELECT v.*, {_COSINE} AS similarity FROM vectors v JOIN placed USING (id), asked
+            WHERE list IN (SELECT hash FROM probed) ORDER BY round(similarity, 9) DESC, id LIMIT 10)""",
+        """SELECT id, source, filename, chunk_index, content, metadata,
+        round(similarity, 6) AS similarity FROM hits""",
+    ),
+)
+def ann_search(spark, sf_dir):
+    """Approximate, but by a rule: which lists are read follows from ids and vectors."""
     table = views.vectors(spark, sf_dir)
-    query = _first_vector(spark, sf_dir)
-    hashing = ann.Hashing(dims=len(query), hashes=3)
     path = scratch_path(spark, "ann")
-    ann.build_index(table, path, hashing)
-    return _rounded(ann.ann_search(table, spark.read.parquet(path), query, hashing))
+    ann.build_index(table, path, ANN_LISTS)
+    query = _first_vector(spark, sf_dir)
+    return _rounded(ann.ann_search(table, path, query, probes=ANN_PROBES))
 
 
 @register(

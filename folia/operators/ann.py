@@ -1,129 +1,97 @@
-"""Approximate search: locality-sensitive hashing, then exact ranking of the candidates.
+"""Approximate search over inverted lists, kept up with appended vectors.
 
-The hash values of Spark's ``BucketedRandomProjectionLSH`` are combined into one cell
-per hash table. The index is a table sorted by cell, so that a search reads only the
-row groups of the query's cells. For unit vectors nearest by distance is nearest by
-cosine.
+The centres of the lists are vectors of the table, drawn by a hash of their ids over all of
+them. Every vector is stored once, in the folder of its nearest centre, and later
+vectors are put into the lists by the same centres. A search reads the lists whose centres
+are nearest to the query and ranks what is in them exactly. Zero and NULL vectors are in
+no list.
 """
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from folia.functions.binding import let
-from folia.functions.vectors import norm
-from folia.operators.search import HIT_COLUMNS, similarity_search
+from folia.operators.search import HIT_COLUMNS, best_first, similarity_search
 
+# Folders below an index.
+_CENTRES, _LISTS = "centres", "lists"
 
-@dataclass(frozen=True)
-class Hashing:
-    """``tables`` chances to meet, each asking ``hashes`` projections to agree.
 
-    More hashes make the cells smaller, more tables make up for the neighbours lost by
-    that. A bucket length well above ``1 / sqrt(dims)`` leaves about one bit per hash; the
-    defaults then read about an eighth of the vectors and find nearly all neighbours
-    with a similarity of 0.9.
-    """
+def _usable(vectors: DataFrame) -> DataFrame:
+    return vectors.where(F.exists("embedding", lambda x: x != 0)).select("id", "embedding")
+
+
+def build_index(vectors: DataFrame, path: str, lists: int = 32) -> None:
+    """Choose ``lists`` centres and store the vectors; the folder must be new.
 
-    dims: int
-    tables: int = 8
-    hashes: int = 6
-    bucket_length: float = 0.5
-    seed: int = 42
-
-    def model(self, spark: SparkSession) -> BucketedRandomProjectionLSHModel:
-        # The projections depend on the seed and the dimensions only, not on the data.
-        zeros = F.array_repeat(F.lit(0.0), self.dims)
-        any_vector = spark.range(1).select(array_to_vector(zeros).alias("_unit"))
-        lsh = BucketedRandomProjectionLSH(
-            inputCol="_unit",
-            outputCol="_hashes",
-            bucketLength=self.bucket_length,
-            numHashTables=self.tables * self.hashes,
-            seed=self.seed,
-        )
-        return lsh.fit(any_vector)
-
-
-def with_cells(vectors: DataFrame, hashing: Hashing) -> DataFrame:
-    """Add ``cells``, one per hash table; zero and NULL vectors are in none and left out."""
-    usable = vectors.where(F.exists("embedding", lambda x: x != 0))
-    # The length is bound first: inside the lambda it would be computed per element.
-    unit = let(
-        norm(F.col("embedding")),
-        lambda length: F.transform("embedding", lambda x: x.cast("double") / length),
-    )
-    hashed = hashing.model(vectors.sparkSession).transform(
-        usable.withColumn("_unit", array_to_vector(unit))
-    )
-
-    def cells(values: Column) -> Column:
-        return F.array(
-            *(
-                F.xxhash64(
-                    *(values[table * hashing.hashes + i] for i in range(hashing.hashes))
-                )
-                for table in range(hashing.tables)
-            )
-        )
-
-    values = F.transform("_hashes", lambda h: vector_to_array(h)[0])
-    return hashed.withColumn("cells", let(values, cells)).drop("_unit", "_hashes")
-
-
-def build_index(vectors: DataFrame, path: str, hashing: Hashing) -> None:
-    """Write the index: every vector once per hash table, sorted by cell.
-
-    The id takes part in the partitioning, so a cell holding many vectors is split.
+    The centres are the vectors with the smallest MD5 sums of their ids.
     """
-    rows = with_cells(vectors.select("id", "embedding"), hashing)
-    exploded = rows.select("*", F.posexplode("cells").alias("table_number", "cell"))
-    order = ["table_number", "cell", "id"]
-    sorted_rows = exploded.repartitionByRange(*order).sortWithinPartitions(*order)
-    sorted_rows.write.mode("overwrite").parquet(path)
-
-
-def candidates(index: DataFrame, query: Sequence[float], hashing: Hashing) -> DataFrame:
-    """``id, embedding`` of the vectors sharing a cell with the query, each once."""
-    spark = index.sparkSession
-    asked = spark.range(1).select(F.lit([float(x) for x in query]).alias("embedding"))
-    found = with_cells(asked, hashing).select("cells").first()
-    if found is None:
-        return index.select("id", "embedding").limit(0)
-    own = found["cells"]
-    # A plain comparison per table lets the scan skip row groups.
-    meets = [
-        (F.col("table_number") == table) & (F.col("cell") == cell)
-        for table, cell in enumerate(own)
-    ]
-    # Of several meeting tables only the first one counts, so nothing is shuffled.
-    first = F.lit(len(own))
-    for table in reversed(range(len(own))):
-        first = F.when(F.col("cells")[table] == own[table], table).otherwise(first)
-    any_table = meets[0]
-    for meeting in meets[1:]:
-        any_table = any_table | meeting
-    return index.where(any_table).where(F.col("table_number") == first).select("id", "embedding")
+    order = F.md5(F.col("id").cast("string").cast("binary"))
+    chosen = _usable(vectors).withColumn("_order", order).orderBy("_order", "id").limit(lists)
+    chosen.write.mode("errorifexists").parquet(f"{path}/{_CENTRES}")
+    add_to_index(vectors, path)
+
+
+def _centres(spark: SparkSession, path: str) -> np.ndarray:
+    """The centres as unit rows in their order; as many as there are lists."""
+    rows = spark.read.parquet(f"{path}/{_CENTRES}").orderBy("_order", "id").select("embedding").collect()
+    centres = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    return centres / np.linalg.norm(centres, axis=1, keepdims=True) if len(rows) else centres
+
+
+def add_to_index(vectors: DataFrame, path: str) -> None:
+    """Append vectors to the lists of their nearest centres."""
+    spark = vectors.sparkSession
+    shared = spark.sparkContext.broadcast(_centres(spark, path))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("embedding")
+            rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            rows = rows.reshape(batch.num_rows, -1)
+            # The length of a row does not change which centre is nearest.
+            nearest = (rows @ shared.value.T).argmax(axis=1) if batch.num_rows else np.zeros(0)
+            yield batch.append_column("list", pa.array(nearest.astype(np.int32)))
+
+    usable = _usable(vectors)
+    schema = T.StructType([*usable.schema.fields, T.StructField("list", T.IntegerType())])
+    assigned = usable.mapInArrow(assign, schema)
+    # Long lists are written by several tasks.
+    spread = assigned.repartition("list", F.pmod(F.xxhash64("id"), F.lit(8)))
+    spread.write.mode("append").partitionBy("list").parquet(f"{path}/{_LISTS}")
 
 
 def ann_search(
     vectors: DataFrame,
-    index: DataFrame,
+    path: str,
     query: Sequence[float],
-    hashing: Hashing,
     top_k: int = 10,
+    probes: int = 12,
     columns: Sequence[str] = HIT_COLUMNS,
 ) -> DataFrame:
-    """Approximate top-k; falls back to the exact search where too few candidates meet."""
-    near = similarity_search(candidates(index, query, hashing), query, top_k, ["id"])
-    hits = near.collect()
-    if len(hits) < top_k:
-        return similarity_search(vectors, query, top_k, columns)
-    ids = [row["id"] for row in hits]
-    # At most k rows: the id list is pushed to the scan and the join needs no shuffle.
-    ranked = vectors.sparkSession.createDataFrame(hits, near.schema)
-    payload = vectors.where(F.col("id").isin(ids)).select(*dict.fromkeys(["id", *columns]))
-    return payload.join(F.broadcast(ranked), "id").select(*columns, "similarity")
+    """The most similar vectors of the ``probes`` lists nearest to the query.
+
+    Where these hold fewer than ``top_k``, twice as many lists are searched, and so on until
+    there are enough or all lists have been searched.
+    """
+    spark = vectors.sparkSession
+    centres = _centres(spark, path)
+    target = np.asarray(query, dtype=np.float64)
+    order = np.argsort(-(centres @ target), kind="stable").tolist() if len(centres) else []
+    stored = spark.read.parquet(f"{path}/{_LISTS}") if order else None
+    hits: list = []
+    while order:
+        near = stored.where(F.col("list").isin(order[:probes])).select("id", "embedding")
+        hits = similarity_search(near, query, top_k, ["id"]).collect()
+        if len(hits) >= top_k or probes >= len(order):
+            break
+        probes *= 2
+    found = [vectors.schema["id"], T.StructField("similarity", T.DoubleType())]
+    # At most k rows.
+    ranked = spark.createDataFrame(hits, T.StructType(found))
+    payload = vectors.where(F.col("id").isin([h["id"] for h in hits]))
+    payload = payload.select(*dict.fromkeys(["id", *columns]))
+    joined = payload.join(F.broadcast(ranked), "id")
+    return joined.orderBy(*best_first()).select(*columns, "similarity")

@@ -123,12 +123,14 @@ def test_zero_and_missing_vectors_come_last(table, matrix):
     assert len(hits) == 602
 
 
-def test_search_many_in_one_or_many_slices(spark, table, matrix):
+def test_search_many_in_one_or_many_blocks(spark, table, matrix, monkeypatch):
     asked = [(f"q{i}", matrix[i * 7].tolist()) for i in range(30)]
     queries = spark.createDataFrame(asked, "query_id STRING, embedding ARRAY<FLOAT>")
     whole = search.search_many(table, queries, 12)
-    sliced = search.search_many(table, queries, 12, max_query_bytes=8 * 8 * 10)
     rows = {(r.query_id, r.rank): r.id for r in whole.collect()}
+    monkeypatch.setattr(search, "_QUERY_BLOCK", 7)
+    monkeypatch.setattr(search, "_VECTOR_BLOCK", 50)
+    sliced = search.search_many(table, queries, 12)
     assert rows == {(r.query_id, r.rank): r.id for r in sliced.collect()}
     for name, vector in asked:
         order, _ = ranked(matrix, np.array(vector))
@@ -168,28 +170,33 @@ def test_vector_from_json():
     assert search.vector_from_json("[1, 0.5]") == [1.0, 0.5]
 
 
-def test_ann_recall_and_fallback(spark):
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(40, 32))
-    rows = np.repeat(centres, 25, axis=0) + 0.15 * rng.normal(size=(1000, 32))
-    data = [(i, row.tolist()) for i, row in enumerate(rows)]
-    vectors_ = spark.createDataFrame(data, "id BIGINT, embedding ARRAY<FLOAT>").cache()
-    hashing = ann.Hashing(dims=32)
+VECTOR = "id BIGINT, embedding ARRAY<FLOAT>"
+
+
+def test_ann_recall_widening_and_appends(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 32))
+    rows = np.repeat(centres, 40, axis=0) + rng.normal(size=(800, 32)) * 0.3
+    frame = [(i, row.tolist()) for i, row in enumerate(rows)] + [(800, [0.0] * 32), (801, None)]
+    table = spark.createDataFrame(frame, VECTOR)
     path = scratch_path(spark, "ann")
-    ann.build_index(vectors_, path, hashing)
-    index = spark.read.parquet(path)
-    assert index.count() == 1000 * hashing.tables
-    recalls = []
-    for i in range(0, 1000, 200):
-        exact = {r.id for r in search.similarity_search(vectors_, rows[i], 10, ["id"]).collect()}
-        near = ann.candidates(index, rows[i], hashing)
-        ids = [r.id for r in near.select("id").collect()]
-        assert len(ids) == len(set(ids)) < 500
-        found = ann.ann_search(vectors_, index, rows[i], hashing, 10, ["id"]).collect()
-        recalls.append(len(exact & {r.id for r in found}) / 10)
-    assert np.mean(recalls) >= 0.9
-    # More hits asked for than candidates there are: the exact search answers.
-    assert ann.ann_search(vectors_, index, rows[0], hashing, 900, ["id"]).count() == 900
+    ann.build_index(table, path, lists=16)
+    stored = spark.read.parquet(f"{path}/lists")
+    assert stored.count() == 800 == stored.select("id").distinct().count()
+    found = 0
+    for i in range(0, 800, 80):
+        near = ann.ann_search(table, path, rows[i], 10, 4, ["id"]).collect()
+        exact = search.similarity_search(table, rows[i], 10, ["id"]).collect()
+        found += len({r.id for r in near} & {r.id for r in exact})
+    assert found >= 90
+    # Too few in the nearest list: further lists are searched.
+    assert ann.ann_search(table, path, rows[0], 700, 1, ["id"]).count() == 700
+    assert ann.ann_search(table, path, rows[0], 900, 1, ["id"]).count() == 800
+    # A vector appended later is found.
+    more = spark.createDataFrame([(900, rows[3].tolist())], VECTOR)
+    ann.add_to_index(more, path)
+    hit = ann.ann_search(table.union(more), path, rows[3], 2, 1, ["id"]).collect()
+    assert {r.id for r in hit} == {3, 900}
 
 
 # The table.
