@@ -841,7 +841,7 @@ def batch_paths(spark, sf_dir):
     return batch.output_uris(batch.result_files(selected))
 
 
-# Every pending file against the extracted documents of all but the first source.
+# Every pending file, and one listed file per web page, which has no document and so fails.
 _OUTCOMES = [
     *sql.PROCESSED_CHUNKS,
     *_PENDING,
@@ -852,15 +852,20 @@ _OUTCOMES = [
         CASE WHEN problem IS NULL THEN filename ELSE name END AS filename, problem AS error
     FROM (SELECT f.uri AS gcs_uri, f.name, p.filename, p.output_path, p.text_chunk_count,
         CASE WHEN p.source IS NULL THEN '{docs.NOT_EXTRACTED}' ELSE p.error END AS problem
-        FROM pending f LEFT JOIN (SELECT * FROM processed WHERE NOT starts_with(name, 'src0/')) p
-        ON p.source = f.uri))""",
+        FROM (SELECT uri, name FROM pending UNION ALL
+            SELECT 'gs://{views.BUCKET}/pages/' || page_id || '.pdf', 'pages/' || page_id || '.pdf' FROM pages) f
+        LEFT JOIN processed p ON p.source = f.uri))""",
 ]
 
 
 def _outcomes(spark, sf_dir):
     extracted = views.extracted(spark, sf_dir).drop("doc_id")
-    there = extracted.where(~F.col("name").startswith("src0/"))
-    documents = runs.attach_extracted(_pending(spark, sf_dir), there)
+    name = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".pdf"))
+    pages = views.table(spark, sf_dir, "pages").select(
+        naming.object_uri(views.BUCKET, name).alias("uri"), name.alias("name")
+    )
+    files = _pending(spark, sf_dir).select("uri", "name").unionByName(pages)
+    documents = runs.attach_extracted(files, extracted)
     return runs.outcomes(results.with_output_path(docs.process(documents)))
 
 
