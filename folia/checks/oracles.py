@@ -122,6 +122,7 @@ def has_numbers(x):
 
 
 def language(x):
+    # The words that hint at English.
     hints = "'the', 'and', 'is', 'in', 'it', 'of', 'to', 'a'"
     hits = f"len(list_filter({words(x)}, lambda w: w IN ({hints})))"
     return (
@@ -191,6 +192,7 @@ def leaf_ctes(source: str, size: int) -> list[str]:
         f"l0 AS MATERIALIZED (SELECT doc_id, 0::BIGINT AS s, text AS t, 0 AS lv, 0::BIGINT AS ps"
         f" FROM {source} WHERE text <> '')"
     ]
+    # The separators, coarsest first.
     separators = ("\n\n", "\n", ". ", "! ", "? ", ";", ",", " ")
     for level, separator in enumerate(separators, 1):
         marked = f"replace(t, {text(separator)}, chr(1) || {text(separator)})"

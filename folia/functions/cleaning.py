@@ -32,11 +32,11 @@ def unify_line_ends(text: Column) -> Column:
 
 
 def squeeze_blanks(text: Column) -> Column:
-    return F.regexp_replace(F.replace(text, F.lit("\t"), F.lit(" ")), "  +", " ")
+    return F.regexp_replace(text, r"[ \t]+", " ")
 
 
 def squeeze_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\n\n\n+", "\n\n")
+    return F.regexp_replace(text, r"\n{3,}", "\n\n")
 
 
 def drop_page_number_lines(text: Column) -> Column:

@@ -1,5 +1,6 @@
 """The splitter without Spark, recursive and over plain strings, to compare with."""
 
+# The separators, coarsest first.
 SEPARATORS = ("\n\n", "\n", ". ", "! ", "? ", ";", ",", " ")
 
 
