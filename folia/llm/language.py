@@ -213,8 +213,10 @@ def _fit(rows: pa.Table, training: Training) -> LanguageModel | None:
     temperature = _temperature(logits, target[checked])
     scores = _softmax(logits / temperature)
     right = scores.max(axis=1)[scores.argmax(axis=1) == target[checked]]
-    # Below what nearly all rightly told rows reach; a tenth less for rows never seen.
+    # Below what nearly all rightly told rows reach, a tenth less for rows never seen; and never
+    # where the language told is likelier than not.
     threshold = 0.9 * float(np.quantile(right, 1 - training.kept)) if len(right) else 0.0
+    threshold = min(threshold, 0.5)
     return LanguageModel(languages, table, bias, temperature, threshold)
 
 
