@@ -152,7 +152,7 @@ def token_pieces(
         seen = np.zeros(longest + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
-            for rows in text_slices(batch):
+            for rows in text_slices(batch, limit=6 << 20):
                 yield _cut(rows, words, end_id, longest, keep_ids, seen, part)
 
     schema = f"{_PIECE}, _part int, _nth long" + (", ids array<int>" if keep_ids else "")

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Words remembered per worker; beyond it the memory is emptied and filled anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 500_000
 
 # A word of Latin-1 letters, perhaps followed by a run of other signs, is cut between the
 # two by every pattern used here; the vocabulary's merges then see exactly these parts.
@@ -184,21 +184,28 @@ class WordEncoder(WordMemory):
         # Names of special tokens in a text are ordinary text.
         self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
+        self._parts: dict[str, tuple[int, ...]] = {}
         self._table = _byte_letters()
 
-    def _clear(self) -> None:
-        super()._clear()
-        self._parts: dict[str, list[int]] = {}
-
     def _part(self, text: str) -> list[int]:
         """Ids of one part that the vocabulary's pattern does not cut further."""
+        if self._spaces:
+            word = text[1:] if text[0] == " " else FIRST + text
+        else:
+            word = text
+        place = self._place.get(word)
+        # Mostly the part has been a word of its own.
+        if place is not None:
+            return self._ids[self._starts[place] : self._starts[place + 1]].tolist()
         found = self._parts.get(text)
         if found is None:
             mapped = text.encode("utf-8").decode("latin-1").translate(self._table)
-            found = self._parts[text] = [t.id for t in self._model.tokenize(mapped)]
-        return found
+            found = self._parts[text] = tuple(t.id for t in self._model.tokenize(mapped))
+        return list(found)
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
+        if len(self._parts) > REMEMBERED_WORDS // 2:
+            self._parts = {}
         found: list[list[int] | None] = []
         rest: list[str] = []
         for word in map(self._spelt, words):
@@ -225,7 +232,7 @@ def encoder(path: str, spaces: bool) -> WordEncoder:
     return _ENCODERS[key]
 
 
-def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 8 << 20):
+def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20):
     """Parts of a batch holding about ``limit`` bytes of text, or a single long text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
