@@ -25,8 +25,8 @@ class TreeSearch:
     k: int = 20
     recall: float = 0.95
     branching: int = 8
-    # Sampled vectors in a leaf; the sample is bounded, and so are the leaves.
-    leaf: int = 160
+    # Sampled vectors in a leaf at most; the sample is bounded, and so are the leaves.
+    leaf: int = 600
     sample: int = 20_000
     # Queries of the calibration.
     calibrated: int = 128
@@ -198,8 +198,11 @@ def nearest_vectors(
 
     def visits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            leaves = [shared.value.visits(q, visited) for q in _matrix(frame["embedding"])] if len(frame) else []
-            yield frame.assign(leaf=leaves).explode("leaf").astype({"leaf": "int32"}) if leaves else pd.DataFrame()
+            # A query's vector is repeated for each leaf, so only some queries at a time.
+            for at in range(0, len(frame), 128):
+                part = frame.iloc[at : at + 128]
+                leaves = [shared.value.visits(q, visited) for q in _matrix(part["embedding"])]
+                yield part.assign(leaf=leaves).explode("leaf").astype({"leaf": "int32"})
 
     asked = rows.where("_asked").where(F.col("vec_id").isNotNull()).select("vec_id", "embedding").distinct()
     asking = staged(asked.mapInPandas(visits, "vec_id long, embedding array<double>, leaf int"), "visits")
