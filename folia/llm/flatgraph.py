@@ -28,7 +28,7 @@ from folia.operators.ids import with_dense_ids
 @dataclass(frozen=True)
 class FlatGraph:
     similarity: float = 0.95
-    overlap: int = 3
+    overlap: int = 2
     degree: int = 24
     alpha: float = 1.2
     # Nodes expanded on the way from the medoid, and how far below the similarity the
@@ -272,9 +272,11 @@ def near_duplicates(vectors: DataFrame, graph: FlatGraph = FlatGraph()) -> DataF
     sample = bounded_sample(nodes.select("id", "embedding"), "id", total, graph.sample, graph.seed)
     points = unit_rows(sample["embedding"])
     random = np.random.default_rng(graph.seed)
-    wanted = -(-total * graph.overlap * 5 // (4 * graph.block))
+    # A third of a block on average, so that few shards are dealt into blocks.
+    wanted = -(-total * graph.overlap * 3 // graph.block)
     k = max(1, min(wanted, graph.centres, -(-len(points) // 8)))
-    centres = k_means(points, k, 6, random)
+    # Centres of one length: a longer one would draw vectors from everywhere.
+    centres = unit_rows(k_means(points, k, 6, random))
     while True:
         graph = replace(graph, overlap=min(graph.overlap, k))
         found = staged(_search_round(nodes, centres, graph), "node-links")
