@@ -15,6 +15,7 @@ task returns numbers of links and a spanning forest, so pairs are never rows.
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,9 +40,14 @@ class FlatGraph:
     # Centres are fitted on at most this many vectors, and there are at most so many.
     sample: int = 20_000
     centres: int = 4096
-    # Vectors compared with all others, and the share of their links to be found.
+    # Vectors compared with all others at first; as many more are drawn as it takes to have
+    # so many with links, of whom one class of larger link numbers makes up at most half.
     audited: int = 300
+    linked: int = 100
+    # The share of links to be found, in each class.
     recall: float = 0.97
+    # Vectors that all others are compared with in one scan.
+    scanned: int = 8192
     seed: int = 42
 
 
@@ -219,29 +225,118 @@ def _search_round(nodes: DataFrame, centres: np.ndarray, graph: FlatGraph) -> Da
     return joined.groupBy(*names).applyInPandas(search, "id long, links long, root long")
 
 
-def _audit(nodes: DataFrame, total: int, graph: FlatGraph) -> dict[int, int]:
-    """The true number of links of a bounded sample of nodes, other copies left out."""
-    sample = bounded_sample(nodes.select("id", "embedding"), "id", total, graph.audited, graph.seed + 1)
-    if sample.empty:
-        return {}
-    queries = nodes.sparkSession.sparkContext.broadcast(
-        (sample["id"].to_numpy(), unit_rows(sample["embedding"]))
-    )
+def _drawn(nodes: DataFrame, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``id, copies`` and unit vectors of a range of ids, which are in the order of hashes."""
+    rows = nodes.select("id", "copies", "embedding").where(F.col("id").between(start, stop - 1)).toPandas()
+    rows = rows.sort_values("id", ignore_index=True)
+    return rows["id"].to_numpy(), rows["copies"].to_numpy(), unit_rows(rows["embedding"])
+
+
+def _true_links(nodes: DataFrame, start: int, stop: int, similarity: float) -> dict[int, int]:
+    """The number of links of nodes compared with all nodes, other copies left out."""
+    own_ids, _, own_rows = _drawn(nodes, start, stop)
+    queries = nodes.sparkSession.sparkContext.broadcast((own_ids, own_rows))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, rows = queries.value
         links = np.zeros(len(ids), np.int64)
         for frame in frames:
-            for at in range(0, len(frame), 4096):
-                part = frame.iloc[at : at + 4096]
-                near = rows @ unit_rows(part["embedding"]).T >= graph.similarity
+            for at in range(0, len(frame), 1024):
+                part = frame.iloc[at : at + 1024]
+                near = rows @ unit_rows(part["embedding"]).T >= similarity
                 near &= ids[:, None] != part["id"].to_numpy()[None, :]
                 links += near @ part["copies"].to_numpy()
-        yield pd.DataFrame({"id": ids, "links": links})
+        some = links > 0
+        yield pd.DataFrame({"id": ids[some], "links": links[some]})
+
+    # One row per partition and drawn node with links.
+    counted = nodes.select("id", "copies", "embedding").mapInPandas(compare, "id long, links long")
+    found = {r["id"]: r["links"] for r in counted.groupBy("id").agg(F.sum("links").alias("links")).collect()}
+    queries.unpersist()
+    return found
+
 
-    # One row per partition and sampled node.
-    counted = nodes.mapInPandas(compare, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
-    return {r["id"]: r["links"] for r in counted.collect()}
+def link_class(links: int) -> int:
+    """Numbers of links by powers of four."""
+    return (links.bit_length() - 1) // 2
+
+
+def _audit(nodes: DataFrame, total: int, graph: FlatGraph) -> tuple[dict[int, int], bool]:
+    """The true numbers of links of drawn nodes that have any, and whether these are enough.
+
+    Ids follow hashes of the vectors, so any range of them is a draw by chance. Further
+    nodes are drawn until enough have links, or there are no more. A class of larger link
+    numbers counts for half at most: a crowd does not hide pairs.
+    """
+    truth: dict[int, int] = {}
+    start, size = 0, graph.audited
+    while start < total:
+        stop = min(total, start + size)
+        truth |= _true_links(nodes, start, stop, graph.similarity)
+        classes = np.bincount([link_class(n) for n in truth.values()], minlength=1)
+        enough = classes[0] + np.minimum(classes[1:], graph.linked // 2).sum() >= graph.linked
+        if enough:
+            return truth, True
+        start, size = stop, min(2 * size, graph.scanned)
+    return truth, False
+
+
+def audited_recall(truth: dict[int, int], own: dict[int, int]) -> float:
+    """The lowest mean share of links found in a class; small classes join the next."""
+    shares: list[float] = []
+    means: list[float] = []
+    at = None
+    for i in sorted(truth, key=lambda i: truth[i]):
+        if link_class(truth[i]) != at and len(shares) >= 10:
+            means.append(float(np.mean(shares)))
+            shares = []
+        at = link_class(truth[i])
+        shares.append(own.get(i, 0) / truth[i])
+    return min([*means, float(np.mean(shares))])
+
+
+def _exact_pass(nodes: DataFrame, total: int, graph: FlatGraph) -> DataFrame:
+    """``id, links, root`` of all links: each block of nodes meets all nodes in a scan."""
+    rounds = []
+    for start in range(0, total, graph.scanned):
+        block = nodes.sparkSession.sparkContext.broadcast(_drawn(nodes, start, min(total, start + graph.scanned)))
+
+        def meet(frames: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
+            ids, copies, rows = block.value
+            for frame in frames:
+                for at in range(0, len(frame), 1024):
+                    part = frame.iloc[at : at + 1024]
+                    own = part["id"].to_numpy()
+                    near = unit_rows(part["embedding"]) @ rows.T >= graph.similarity
+                    near &= own[:, None] != ids[None, :]
+                    hit, met = near.any(axis=1), near.any(axis=0)
+                    if not hit.any():
+                        continue
+                    own, near = own[hit], near[np.ix_(hit, met)]
+                    # A spanning forest: labels of block members go to and fro until they stay.
+                    label = np.arange(near.shape[1])
+                    while True:
+                        low = np.where(near, label[None, :], len(label)).min(axis=1)
+                        after = np.minimum(label, np.where(near, low[:, None], len(label)).min(axis=0))
+                        if (after == label).all():
+                            break
+                        label = after
+                    inside = ids[met]
+                    yield pd.DataFrame(
+                        {
+                            "id": np.concatenate([own, inside]),
+                            "links": np.concatenate([near @ copies[met], np.zeros(len(inside), np.int64)]),
+                            "root": np.concatenate([inside[low], inside[label]]),
+                        }
+                    )
+
+        made = nodes.select("id", "copies", "embedding").mapInPandas(meet, "id long, links long, root long")
+        rounds.append(staged(made, "exact-links"))
+    return reduce(DataFrame.unionAll, rounds)
+
+
+def _links_of(found: DataFrame) -> DataFrame:
+    return staged(found.groupBy("id").agg(F.sum("links").alias("links")), "counted")
 
 
 def near_duplicates(vectors: DataFrame, graph: FlatGraph = FlatGraph()) -> DataFrame:
@@ -250,7 +345,8 @@ def near_duplicates(vectors: DataFrame, graph: FlatGraph = FlatGraph()) -> DataF
     Returns one row per vector: ``vec_id, n_links, component_id, kept, audited_recall``.
     ``n_links`` counts the other rows linked directly, ``component_id`` is the smallest id
     that links lead to. NULL and zero vectors and such with NULL or non-finite numbers are
-    linked with nothing and kept; repeated rows are links of each other. Vectors of other
+    linked with nothing and kept; repeated rows are links of each other. ``audited_recall``
+    is the lowest of the audited classes, or 1 after comparing all with all. Vectors of other
     lengths than most fail. An empty table gives no rows; other columns are left out.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
@@ -268,7 +364,7 @@ def near_duplicates(vectors: DataFrame, graph: FlatGraph = FlatGraph()) -> DataF
             "vec_id", nothing.alias("n_links"), F.col("vec_id").alias("component_id"),
             F.lit(True).alias("kept"), F.lit(1.0).alias("audited_recall"),
         )
-    truth = {i: n for i, n in _audit(nodes, total, graph).items() if n}
+    truth, enough = _audit(nodes, total, graph)
     sample = bounded_sample(nodes.select("id", "embedding"), "id", total, graph.sample, graph.seed)
     points = unit_rows(sample["embedding"])
     random = np.random.default_rng(graph.seed)
@@ -277,16 +373,21 @@ def near_duplicates(vectors: DataFrame, graph: FlatGraph = FlatGraph()) -> DataF
     k = max(1, min(wanted, graph.centres, -(-len(points) // 8)))
     # Centres of one length: a longer one would draw vectors from everywhere.
     centres = unit_rows(k_means(points, k, 6, random))
-    while True:
+    recall = None
+    while enough:
         graph = replace(graph, overlap=min(graph.overlap, k))
         found = staged(_search_round(nodes, centres, graph), "node-links")
-        counted = staged(found.groupBy("id").agg(F.sum("links").alias("links")), "counted")
-        # A bounded number of sampled nodes.
-        own = {r["id"]: r["links"] for r in counted.where(F.col("id").isin(list(truth))).collect()} if truth else {}
-        recall = float(np.mean([own.get(i, 0) / n for i, n in truth.items()])) if truth else 1.0
+        counted = _links_of(found)
+        # A bounded number of drawn nodes.
+        own = {r["id"]: r["links"] for r in counted.where(F.col("id").isin(list(truth))).collect()}
+        recall = audited_recall(truth, own)
         if recall >= graph.recall or graph.overlap == k:
             break
         graph = replace(graph, overlap=2 * graph.overlap, steps=2 * graph.steps)
+    if recall is None or recall < graph.recall:
+        # Without an audit, or with links still missing, nothing less tells all links.
+        found, recall = _exact_pass(nodes, total, graph), 1.0
+        counted = _links_of(found)
     grouped = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     joined = (
         nodes.select("id", "h1", "h2", "copies", "smallest")

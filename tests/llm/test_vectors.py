@@ -54,6 +54,37 @@ def test_links(spark, vectors, graph):
     assert found[0]["audited_recall"] >= 0.97
 
 
+def test_rare_links_are_not_lost(spark):
+    """A few pairs among many vectors that the first draw has none of, in shards apart."""
+    random = np.random.default_rng(11)
+    rows = random.normal(size=(990, 24))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    for i in range(40):
+        step = random.normal(size=24)
+        step -= (step @ rows[i]) * rows[i]
+        rows[700 + i] = rows[i] + 0.32 * step / np.linalg.norm(step)
+    vectors = [*enumerate(rows.astype(np.float32).tolist())]
+    graph = flatgraph.FlatGraph(overlap=1, block=30, degree=2, audited=1, steps=1)
+    found = flatgraph.near_duplicates(frame(spark, vectors), graph).collect()
+    rows = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found)
+    assert rows == sorted(brute(vectors, graph.similarity))
+    assert sum(r[1] for r in rows) == 80
+
+
+def test_links_still_missed_when_all_shards_meet(spark, vectors):
+    """A graph of degree 1 that is hardly searched: all vectors are compared in the end."""
+    graph = flatgraph.FlatGraph(degree=1, steps=1, slack=0.0, block=8000, scanned=100, linked=20, recall=0.99999)
+    found = flatgraph.near_duplicates(frame(spark, vectors), graph).collect()
+    rows = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found)
+    assert rows == sorted(brute(vectors, graph.similarity))
+
+
+def test_recall_is_the_lowest_of_its_classes():
+    truth = {i: 500 for i in range(90)} | {100 + i: 1 for i in range(10)}
+    assert flatgraph.audited_recall(truth, {i: 500 for i in range(90)}) == 0.0
+    assert flatgraph.audited_recall(truth, truth) == 1.0
+
+
 def test_no_vectors(spark):
     assert flatgraph.near_duplicates(frame(spark, [])).count() == 0
     only = flatgraph.near_duplicates(frame(spark, [(1, None), (None, [0.0, 0.0])])).collect()
