@@ -2,9 +2,10 @@
 
 A word starts as its characters. An agenda holds the candidate merges of neighbours, the
 best-scored first and of equal ones the leftmost; each candidate may be skipped, as a hash
-of the seed, the variant, the word, the place and the merged piece tells. The same seed and
-variant always cut a word in the same way, so cut words are remembered; a document's
-variant is drawn by a hash of its id and text. Characters without a piece become byte pieces.
+of the seed, the document, the word's position in it, the place and the merged piece tells.
+So every occurrence of a word is cut for itself. What is remembered of a word are all the
+candidates it can ever have, and its cuts by which of these are skipped; a document is told
+by a hash of its id and text. Characters without a piece become byte pieces.
 
 Short words of a batch share one agenda step at a time as rows of arrays; long ones have a
 heap each. Both take the same merges.
@@ -14,15 +15,17 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
 from folia.llm.frames import with_text
-from folia.llm.tokenids import FIRST, WordMemory, as_text, text_slices
+from folia.llm.tokenids import FIRST, REMEMBERED_WORDS, WordMemory, as_text, text_slices
 
 _U = np.uint64
 # The sign that stands for a space in pieces.
@@ -30,14 +33,18 @@ SPACE = "▁"
 # Longer words get an agenda of their own.
 _SHORT = 32
 _NO_PIECE = 1 << 40
+# Candidates are remembered as place and piece; words with more candidates than bits of a
+# mask, and long ones, are cut anew each time.
+_PIECE_BITS, _MASK_BITS = 27, 40
+_ALONE = 0xFFFFFFFF
+# Candidates looked at in one go.
+_AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
 class Dropout:
     rate: float = 0.1
     seed: int = 42
-    # Ways in which a word may be cut; every document has one of them.
-    variants: int = 4
 
 
 class Vocabulary:
@@ -126,15 +133,31 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder(WordMemory):
-    """Cuts words into pieces for one seed and variant."""
+    """Cuts words into pieces for one seed.
 
-    def __init__(self, path: str, dropout: Dropout, variant: int):
-        super().__init__(spaces=True, shares=dropout.variants)
+    ``key`` stands for the document where no keys of documents are given.
+    """
+
+    def __init__(self, path: str, dropout: Dropout, key: int = 0):
+        super().__init__(spaces=True)
         self.vocabulary = vocabulary(path)
         self._limit = _U(min(int(dropout.rate * 2.0**64), 2**64 - 1))
         self._drops = dropout.rate > 0
-        seeds = np.array([dropout.seed, variant], np.int64).view(_U)
-        self._key = _mixed(_mixed(seeds[:1] + _U(1)) + seeds[1:])[0]
+        self._seed = _mixed(np.array([dropout.seed], np.int64).view(_U) + _U(1))[0]
+        self._key = self._text_keys(np.array([key], np.int64))[0]
+
+    def _text_keys(self, keys: np.ndarray) -> np.ndarray:
+        return _mixed(self._seed + keys.astype(np.int64).view(_U))
+
+    def _clear(self) -> None:
+        super()._clear()
+        self._clear_cuts()
+
+    def _clear_cuts(self) -> None:
+        # By word and mask of skipped candidates.
+        self._cuts: dict[int, int] = {}
+        self._cut_starts = np.zeros(1, np.int64)
+        self._cut_ids = np.zeros(0, np.uint32)
 
     # A text starts as if a space stood before it.
     def _spelt(self, word: str) -> str:
@@ -149,36 +172,152 @@ class PieceEncoder(WordMemory):
         # Runs of spaces stay together; each word has lost the space that _spelt gives it.
         return [w[1:] for w in re.split(r"(?<=[^ ])(?= )", f" {text}")] if text else []
 
-    def skipped(self, word: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """Whether the candidates are left out: word hashes, places and merged pieces."""
+    def skipped(self, own: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether the candidates are left out: keys of the words, places and merged pieces."""
         if not self._drops:
             return np.zeros(len(piece), bool)
-        mixed = word + place.astype(_U) * _U(0x9E3779B97F4A7C15)
+        mixed = own + place.astype(_U) * _U(0x9E3779B97F4A7C15)
         return _mixed(mixed ^ (piece.astype(_U) * _U(0xD6E8FEB86659FD93))) < self._limit
 
-    def _word_hash(self, symbols: list[int]) -> int:
-        value = int(self._key)
-        for s in symbols:
-            value = ((value ^ s) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-        return value
+    def _symbols(self, words: list[str]) -> list[list[int]]:
+        symbol = {c: self.vocabulary.symbol(c) for c in set("".join(words))}
+        return [[symbol[c] for c in word] for word in words]
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
-        words = list(map(self._spelt, words))
-        symbol = {c: self.vocabulary.symbol(c) for c in set("".join(words))}
-        rows = [[symbol[c] for c in word] for word in words]
-        found: list[list[int]] = [[]] * len(words)
+        """What is remembered of words: candidates, or the cut where none is skipped."""
+        rows = self._symbols(list(map(self._spelt, words)))
+        if self._drops:
+            return list(map(self.candidates, rows))
+        return self._cut(rows, np.full(len(rows), self._key))
+
+    def candidates(self, word: list[int]) -> list[int]:
+        """All merges that a word can come to, whatever is skipped, as place and piece."""
+        n, size = len(word), self.vocabulary.symbols
+        if n > _SHORT:
+            return [_ALONE]
+        pairs, found = self.vocabulary.pairs, []
+        # By start and end: the symbol of that part, if merges can make it.
+        parts = [{i + 1: s} if s < size else {} for i, s in enumerate(word)]
+        for start in range(n - 2, -1, -1):
+            own, ends = parts[start], [start + 1]
+            # Parts that end later come later.
+            for end in range(start + 2, n + 1):
+                for middle in ends:
+                    left, right = own.get(middle), parts[middle].get(end)
+                    if left is not None and right is not None:
+                        made = pairs.get(left * size + right)
+                        if made is not None:
+                            own[end] = made
+                            ends.append(end)
+                            found.append(start << _PIECE_BITS | made)
+                            break
+        return found if len(found) <= _MASK_BITS else [_ALONE]
+
+    def _cut(self, rows: list[list[int]], keys: np.ndarray) -> list[list[int]]:
+        """Words of symbols, each with its key."""
+        found: list[list[int]] = [[]] * len(rows)
         for low, high in ((1, 8), (9, 16), (17, _SHORT)):
             at = [i for i, r in enumerate(rows) if low <= len(r) <= high]
             for part in range(0, len(at), 20_000):
                 own = at[part : part + 20_000]
-                for i, ids in zip(own, self.by_rows([rows[i] for i in own])):
+                for i, ids in zip(own, self.by_rows([rows[i] for i in own], keys[own])):
                     found[i] = ids
         for i, row in enumerate(rows):
             if len(row) > _SHORT:
-                found[i] = self.by_heap(row)
+                found[i] = self.by_heap(row, keys[i])
         return found
 
-    def by_rows(self, words: list[list[int]]) -> list[list[int]]:
+    def _placed(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The remembered place of each word of texts, and where each text starts."""
+        pieces = pc.split_pattern(texts, " ")
+        borders = pieces.offsets.to_numpy().astype(np.int64)
+        words = pieces.flatten().dictionary_encode()
+        distinct, indices = words.dictionary.to_pylist(), words.indices.to_numpy()
+        own = self._places(distinct)
+        self._batches[own] += 1
+        places = own[indices]
+        places[borders[:-1]] = self._places([FIRST + distinct[i] for i in indices[borders[:-1]]])
+        unsafe = self._odd[places]
+        if unsafe.any():
+            parts = np.split(places, borders[1:-1])
+            for i in np.flatnonzero(np.logical_or.reduceat(unsafe, borders[:-1])):
+                parts[i] = self._places(self._split(texts[int(i)].as_py()))
+            places = np.concatenate(parts)
+            borders = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int64)
+        return places, borders
+
+    def _masks(self, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which of its candidates each word skips, as bits."""
+        starts, lengths = self._starts[places], np.diff(self._starts)[places]
+        ends = np.cumsum(lengths)
+        masks = np.zeros(len(places), _U)
+        low = 0
+        while low < len(places):
+            base = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, base + _AT_ONCE, side="right")))
+            n = lengths[low:high]
+            begin = np.cumsum(n) - n
+            bit = np.arange(n.sum()) - np.repeat(begin, n)
+            codes = self._ids[np.repeat(starts[low:high], n) + bit]
+            own = np.repeat(np.arange(low, high), n)
+            piece = codes & np.uint32((1 << _PIECE_BITS) - 1)
+            on = self.skipped(keys[own], codes >> np.uint32(_PIECE_BITS), piece)
+            # Sums of powers of two below 2 ** 53 are exact.
+            sums = np.bincount(own[on] - low, np.ldexp(1.0, bit[on] % _MASK_BITS), high - low)
+            masks[low:high] = sums.astype(_U)
+            low = high
+        return masks
+
+    def encode(self, texts: pa.Array, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text starts (one more at the end).
+
+        ``keys`` tell the documents apart; each word is cut by its document and position.
+        """
+        if not self._drops:
+            return super().encode(texts)
+        texts = as_text(texts)
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        if len(self._place) > REMEMBERED_WORDS:
+            self._forget()
+        if len(self._cuts) > REMEMBERED_WORDS:
+            self._clear_cuts()
+        places, borders = self._placed(texts)
+        of_text = np.full(len(texts), self._key) if keys is None else self._text_keys(keys)
+        counts = np.diff(borders)
+        position = np.arange(len(places)) - np.repeat(borders[:-1], counts)
+        own = _mixed(np.repeat(of_text, counts) + position.astype(_U) * _U(0xA24BAED4963EE407))
+        cuts, starts, ids = self._cuts_of(places, own)
+        lengths = np.diff(starts)[cuts]
+        ends = np.append(0, np.cumsum(lengths))
+        at = np.repeat(starts[cuts] - ends[:-1], lengths) + np.arange(ends[-1])
+        return ids[at], ends[borders]
+
+    def _cuts_of(self, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A number for the cut of each word, and starts and ids of the cuts by number."""
+        single = np.diff(self._starts) == 1
+        single[single] = self._ids[self._starts[:-1][single]] == _ALONE
+        alone = single[places]
+        apart, rest = np.flatnonzero(alone), np.flatnonzero(~alone)
+        masked = (places[rest].astype(_U) << _U(_MASK_BITS)) | self._masks(places[rest], keys[rest])
+        distinct, first, back = np.unique(masked, return_index=True, return_inverse=True)
+        known = distinct.tolist()
+        missing = [i for i, k in enumerate(known) if k not in self._cuts]
+        new = rest[first[missing]] if missing else np.zeros(0, np.int64)
+        words = list(self._place)
+        rows = self._symbols([self._spelt(words[places[i]]) for i in chain(new, apart)])
+        found = self._cut(rows, keys[np.concatenate([new, apart])])
+        before = len(self._cuts)
+        self._cuts.update((known[i], before + n) for n, i in enumerate(missing))
+        kept, extra = found[: len(new)], found[len(new) :]
+        self._cut_starts, self._cut_ids = _longer(self._cut_starts, self._cut_ids, kept)
+        cuts = np.empty(len(places), np.int64)
+        number = np.fromiter(map(self._cuts.__getitem__, known), np.int64, len(known))
+        cuts[rest] = number[back]
+        cuts[apart] = len(self._cut_starts) - 1 + np.arange(len(apart))
+        return cuts, *_longer(self._cut_starts, self._cut_ids, extra)
+
+    def by_rows(self, words: list[list[int]], keys: np.ndarray | None = None) -> list[list[int]]:
         """Words side by side: each step takes the best merge of every word."""
         if not words:
             return []
@@ -187,7 +326,7 @@ class PieceEncoder(WordMemory):
         symbols = np.full((n, width + 1), -1, np.int64)
         for i, word in enumerate(words):
             symbols[i, : len(word)] = word
-        hashes = np.array([self._word_hash(w) for w in words], _U)
+        keys = np.full(n, self._key) if keys is None else keys
         after = np.tile(np.arange(1, width + 2), (n, 1))
         before = np.tile(np.arange(-1, width), (n, 1))
         # Candidates by the place of their left symbol: merged piece, and rank or infinity.
@@ -201,7 +340,7 @@ class PieceEncoder(WordMemory):
             rows, left, right = rows[valid], left[valid], right[valid]
             made = vocabulary.merged(symbols[rows, left], symbols[rows, right])
             good = made >= 0
-            good[good] = ~self.skipped(hashes[rows[good]], left[good], made[good])
+            good[good] = ~self.skipped(keys[rows[good]], left[good], made[good])
             piece[rows[good], left[good]] = made[good]
             rank[rows[good], left[good]] = vocabulary.rank[made[good]]
 
@@ -228,11 +367,11 @@ class PieceEncoder(WordMemory):
         flat, ends = symbols[kept].tolist(), np.cumsum(kept.sum(axis=1)).tolist()
         return [vocabulary.spelt(flat[a:b]) for a, b in zip([0, *ends], ends)]
 
-    def by_heap(self, word: list[int]) -> list[int]:
+    def by_heap(self, word: list[int], key: np.uint64 | None = None) -> list[int]:
         """One word of any length."""
         vocabulary, n = self.vocabulary, len(word)
         symbols, after, before = list(word), list(range(1, n + 1)), list(range(-1, n - 1))
-        own = np.array([self._word_hash(word)], _U)
+        own = np.array([self._key if key is None else key], _U)
         agenda: list[tuple[int, int, int, int]] = []
 
         def propose(left: int) -> None:
@@ -263,14 +402,21 @@ class PieceEncoder(WordMemory):
         return vocabulary.spelt([s for s in symbols if s >= 0])
 
 
+def _longer(starts: np.ndarray, ids: np.ndarray, more: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ids with further cuts at their end."""
+    lengths = np.fromiter(map(len, more), np.int64, len(more))
+    added = np.fromiter(chain.from_iterable(more), np.uint32, lengths.sum())
+    return np.concatenate([starts, starts[-1] + np.cumsum(lengths)]), np.concatenate([ids, added])
+
+
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def piece_encoder(path: str, dropout: Dropout, variant: int) -> PieceEncoder:
-    """The worker's encoder; its words are kept from task to task."""
-    key = (path, dropout, variant)
+def piece_encoder(path: str, dropout: Dropout) -> PieceEncoder:
+    """The worker's encoder; what it remembers is kept from task to task."""
+    key = (path, dropout)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, dropout, variant)
+        _ENCODERS[key] = PieceEncoder(path, dropout)
     return _ENCODERS[key]
 
 
@@ -286,6 +432,7 @@ def encode_pieces(
     """Cut documents into pieces and decode them again.
 
     Returns ``doc_id, variant, n_tokens, ids_crc32, lossless`` and, if wanted, ``ids``;
+    ``variant`` is the document's own key, a hash of its id and text, by which its words are cut;
     ``lossless`` tells whether the ids' bytes are those of the text. NULL and empty texts
     have no ids; repeated rows get equal ids; a NULL id is hashed like others; an empty
     table gives no rows; other columns are left out.
@@ -296,37 +443,32 @@ def encode_pieces(
             for rows in text_slices(batch, limit=4 << 20):
                 yield _encoded(rows, model_path, dropout, keep_ids)
 
-    variant = F.pmod(F.xxhash64("doc_id", "text", F.lit(dropout.seed)), F.lit(dropout.variants))
-    rows = with_text(docs).withColumn("variant", variant.cast("int"))
-    schema = "doc_id bigint, variant int, n_tokens bigint, ids_crc32 bigint, lossless boolean"
+    rows = with_text(docs).withColumn("variant", F.xxhash64("doc_id", "text", F.lit(dropout.seed)))
+    schema = "doc_id bigint, variant bigint, n_tokens bigint, ids_crc32 bigint, lossless boolean"
     return rows.mapInArrow(encoded, schema + (", ids array<int>" if keep_ids else ""))
 
 
 def _encoded(rows: pa.RecordBatch, path: str, dropout: Dropout, keep_ids: bool) -> pa.RecordBatch:
-    texts, variants = as_text(rows.column("text")), rows.column("variant").to_numpy()
-    count, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    texts = as_text(rows.column("text"))
+    encoder = piece_encoder(path, dropout)
+    ids, ends = encoder.encode(texts, rows.column("variant").to_numpy())
+    sums = np.zeros(len(texts), np.int64)
     lossless, kept = np.zeros(len(texts), bool), [None] * len(texts)
-    for variant in np.unique(variants):
-        at = np.flatnonzero(variants == variant)
-        own = texts.take(pa.array(at))
-        encoder = piece_encoder(path, dropout, int(variant))
-        ids, ends = encoder.encode(own)
-        count[at] = np.diff(ends)
-        raw = ids.astype("<u4").view(np.uint8)
-        decoded = encoder.vocabulary.decoded(ids)
-        byte_ends = np.append(0, np.cumsum(encoder.vocabulary.lengths[ids]))[ends]
-        for i, text in enumerate(own):
-            a, b = int(ends[i]), int(ends[i + 1])
-            sums[at[i]] = crc32(raw[4 * a : 4 * b])
-            # Without the space before the text.
-            found = decoded[byte_ends[i] + 1 : byte_ends[i + 1]].tobytes()
-            lossless[at[i]] = found == bytes(text.as_buffer() or b"")
-            if keep_ids:
-                kept[at[i]] = ids[a:b].astype(np.int32)
+    raw = ids.astype("<u4").view(np.uint8)
+    decoded = encoder.vocabulary.decoded(ids)
+    byte_ends = np.append(0, np.cumsum(encoder.vocabulary.lengths[ids]))[ends]
+    for i, text in enumerate(texts):
+        a, b = int(ends[i]), int(ends[i + 1])
+        sums[i] = crc32(raw[4 * a : 4 * b])
+        # Without the space before the text.
+        found = decoded[byte_ends[i] + 1 : byte_ends[i + 1]].tobytes()
+        lossless[i] = found == bytes(text.as_buffer() or b"")
+        if keep_ids:
+            kept[i] = ids[a:b].astype(np.int32)
     columns = {
         "doc_id": rows.column("doc_id"),
         "variant": rows.column("variant"),
-        "n_tokens": pa.array(count),
+        "n_tokens": pa.array(np.diff(ends)),
         "ids_crc32": pa.array(sums),
         "lossless": pa.array(lossless),
     }

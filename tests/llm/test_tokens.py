@@ -140,6 +140,47 @@ def test_dropout_varies_and_is_lossless(awkward, empty, plain, words):
     assert pieces.encode_pieces(empty, PIECES).count() == 0
 
 
+def cuts_of(ids):
+    """The cuts of the repeated words in a text of one word."""
+    text = tuple(ids.tolist() if hasattr(ids, "tolist") else ids)
+    values, out, own = pieces.vocabulary(PIECES), [], ()
+    for i in text:
+        if own and bytes(values.decoded(np.array([i]))).startswith(b" "):
+            out.append(own)
+            own = ()
+        own += (i,)
+    return [*out, own]
+
+
+def test_cuts_of_a_word_grow_with_the_documents(spark, plain):
+    word, seen = "internationalization", []
+    for n in (5, 50, 500):
+        docs = spark.createDataFrame([(i, f"{word} {word}") for i in range(n)], "doc_id long, text string")
+        found = plain(pieces.encode_pieces(docs, PIECES, pieces.Dropout(0.3), keep_ids=True))
+        assert found.lossless.all()
+        own = [cuts_of(ids) for ids in found.ids]
+        seen.append(len({c for cuts in own for c in cuts}))
+        # Repeats within a document are cut apart, too.
+        assert any(len(set(cuts)) > 1 for cuts in own)
+    assert 4 < seen[0] < seen[1] < seen[2] and seen[1] > 20
+
+
+def test_remembered_cuts_are_those_of_the_agenda(words, monkeypatch):
+    """By mask and memory, every word is cut as if its agenda were run for itself."""
+    monkeypatch.setattr(pieces, "_AT_ONCE", 50)
+    encoder = pieces.PieceEncoder(PIECES, pieces.Dropout(0.3, seed=7))
+    texts = [t for t in ODD if t] + [words(50, s) for s in range(10)]
+    for _ in range(2):
+        ids, ends = encoder.encode(pa.array(texts), np.arange(len(texts)))
+        for k, text in enumerate(texts):
+            key = encoder._text_keys(np.array([k]))
+            expected = []
+            for at, word in enumerate(encoder._split(text)):
+                own = pieces._mixed(key + np.array([at]).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+                expected += encoder.by_heap([encoder.vocabulary.symbol(c) for c in f" {word}"], own[0])
+            assert ids[ends[k] : ends[k + 1]].tolist() == expected, text
+
+
 def test_empty_tables(spark, empty, tmp_path):
     assert packing.pack(empty, BYTES).count() == 0
     path = str(tmp_path / "none")
