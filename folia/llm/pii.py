@@ -91,10 +91,8 @@ _WORDS = {
     "card": ("card", "visa", "credit", "pay", "account"),
     "phone": ("phone", "tel", "call", "mobile", "fax"),
 }
-# Something that every e-mail proposal has, to leave out texts quickly.
-_AT_DOMAIN = re.compile(
-    r"@|[\s\[({<](?:at|AT)[\s\])}>]\s?[A-Za-z0-9-]+(?:\.|\s\.|\s?[\[({<]|\s(?:dot|DOT)\s)"
-)
+# What the sign of every e-mail proposal holds; the proposals are looked for around it.
+_AT_SIGN = re.compile(r"@|[\s\[({<](?:at|AT)[\s\])}>]")
 # Characters looked at on each side of a proposal; they are context, not a limit of spans.
 _AROUND = 24
 
@@ -105,12 +103,29 @@ FEATURES = (
 )
 
 
+def _disguised(text: str) -> Iterator[tuple[int, int]]:
+    """The spans that the e-mail generator finds from left to right, found from their signs."""
+    end, at = 0, _AT_SIGN.search(text)
+    while at:
+        # At most three signs of the disguise stand before it, none of them of a name.
+        stop = next((i for i in range(at.start(), max(at.start() - 4, end), -1) if text[i - 1] in _LOCAL), end)
+        start = stop
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        while start < stop and text[start] in "._%+-":
+            start += 1
+        found = _GENERATORS["email"].match(text, start) if start < stop else None
+        if found:
+            end = found.end()
+            yield found.span()
+        at = _AT_SIGN.search(text, max(at.start() + 1, end))
+
+
 def proposals(text: str) -> list[tuple[int, int, str]]:
     """All spans that the generators propose."""
     kinds = KINDS[1:] if _DIGIT.search(text) else ()
-    if _AT_DOMAIN.search(text):
-        kinds = ("email", *kinds)
-    return [(*m.span(), kind) for kind in kinds for m in _GENERATORS[kind].finditer(text)]
+    found = [(*span, "email") for span in _disguised(text)]
+    return found + [(*m.span(), kind) for kind in kinds for m in _GENERATORS[kind].finditer(text)]
 
 
 def features(found: str, kind: str, before: str, after: str) -> list[float]:

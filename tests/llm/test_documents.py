@@ -278,6 +278,19 @@ def test_personal_data(spark, empty, plain):
     assert pii.redacted("ab1.2.3.4c", [(2, 9, "ip"), (4, 6, "card")]) == "ab[IP]c"
 
 
+def test_proposals_are_those_of_the_generators():
+    source = random.Random(12)
+    gap = lambda: source.choice(["", " ", "\n", "\u00a0"])
+    for _ in range(3000):
+        left, right = source.choice(["[]", "()", "{}", "<>", "[)", "  "])
+        at, dot = source.choice(["at", "AT", "@"]), source.choice(["dot", "DOT", "."])
+        sign = lambda word: f"{gap()}{left}{gap()}{word}{gap()}{right}{gap()}"
+        text = f"{source.choice(['', 'look at it ', 'x '])}ana{sign(at)}firm{source.choice([sign(dot), '.'])}org 12"
+        found = {(*m.span(), k) for k in pii.KINDS for m in pii._GENERATORS[k].finditer(text)}
+        assert set(pii.proposals(text)) == found, text
+    assert [s[2] for s in pii.proposals("ana [ at ] firm [ dot ] org")] == ["email"]
+
+
 # The pipeline
 
 
