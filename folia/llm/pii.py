@@ -4,8 +4,9 @@ The base patterns find well-formed e-mail addresses, IP addresses, card and phon
 numbers. High-recall generators propose overlapping spans beside them (other separators,
 spelt-out signs, missing prefixes), and gradient-boosted trees score these by their format
 and context. The trees learn from the corpus itself: base spans written in the ways the
-generators allow for are positive, other proposals and base spans with digits changed so that
-they fail their check are negative. Per kind, the threshold is the lowest score that keeps
+generators allow for are positive; base spans changed so that they fail their check, and
+proposals that fail it, are negative. A proposal that passes may be personal data and is no
+example. Per kind, the threshold is the lowest score that keeps
 to a given precision on examples kept out of training.
 """
 
@@ -185,10 +186,32 @@ def _written_otherwise(found: str, kind: str, random: np.random.Generator) -> st
     return pick(f"00{digits[:head]} {body}", f"+{digits[:head]}/{body}", f"({digits[:head]}) {body}")
 
 
+_PROSE = ("look", "meet", "us", "available", "more", "read", "found", "hosted")
+_DATE = re.compile(r"(?:[0-9]{4}([-./ ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./ ])[0-9]{1,2}\2[0-9]{4})(?: ?[0-9]{1,2})?")
+_BARE_AT = re.compile(r"[^\s\[({<]+\s(?:at|AT)\s[A-Za-z0-9.-]+")
+
+
+def fails_check(found: str, kind: str) -> bool:
+    """Whether a proposal cannot be personal data, or not be told from prose, by its form.
+
+    ``word at host.name`` has nothing but the word ``at`` of an address.
+    """
+    if kind == "email":
+        return not re.search("[A-Za-z]{2}$", found) or bool(_BARE_AT.fullmatch(found))
+    if kind == "ip":
+        return any(int(g) > 255 for g in re.findall("[0-9]+", found))
+    if kind == "card":
+        return not luhn(_digits(found))
+    return not 9 <= len(_digits(found)) <= 15 or bool(_DATE.fullmatch(found))
+
+
 def _spoilt(found: str, kind: str, random: np.random.Generator) -> str:
     """The span with digits or names that make it no personal data."""
     if kind == "email":
-        return found.replace("@", " at ").replace(".", ". ") if random.random() < 0.5 else found.replace("@", " @ ").split(".")[0]
+        # A word and the name of a host, and amounts and rates.
+        word = _PROSE[int(random.integers(len(_PROSE)))]
+        price = f"{random.integers(1, 500)} @ {random.integers(0, 100)}.{random.integers(10, 100)}"
+        return f"{word} at {found.partition('@')[2]}" if random.random() < 0.5 else price
     changed = "".join(str(random.integers(10)) if c.isdigit() else c for c in found)
     if kind == "ip":
         return re.sub(r"[0-9]+", lambda m: str(int(random.integers(256, 999))) if random.random() < 0.7 else m[0], changed)
@@ -215,7 +238,8 @@ def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
             if shown and shown[0] == written and (label or not _base_equal(written, kind)):
                 yield features(written, kind, *sides), label
     for start, end, kind in proposals(text):
-        if not any(a < end and start < b for a, b, _ in base):
+        clear = not any(a < end and start < b for a, b, _ in base)
+        if clear and fails_check(text[start:end], kind):
             yield features(text[start:end], kind, *around(start, end)), 0
 
 

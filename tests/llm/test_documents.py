@@ -291,6 +291,27 @@ def test_proposals_are_those_of_the_generators():
     assert [s[2] for s in pii.proposals("ana [ at ] firm [ dot ] org")] == ["email"]
 
 
+def test_disguised_data_of_the_corpus_are_no_negatives(spark):
+    """A third of the addresses is disguised in the corpus itself."""
+    source, rows, hidden = random.Random(14), [], {}
+    for i in range(600):
+        if i % 3:
+            rows.append((i, f"mail ana{i}@firm{i}.example.org now, host 10.{i % 256}.3.{i % 200} up"))
+        else:
+            hidden[i] = source.choice([f"ana{i} [at] firm{i} [dot] example [dot] org", f"ana{i}[at]firm{i}[dot]example[dot]org"])
+            rows.append((i, f"mail {hidden[i]} now, look at example.org on 2024-01-{i % 28 + 1:02}, {i} @ 12.50"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.train(docs)
+    right = 0
+    for i, text in rows:
+        added = [text[a:b] for a, b, _ in pii.all_spans(text, pii.base_spans(text), model)]
+        right += i in hidden and added == [hidden[i]]
+    assert right >= 0.95 * len(hidden)
+    for text in (t for i, t in rows if i in hidden):
+        for values, label in pii.examples(text, 1):
+            assert label == 0 and not (values[0] == 0 and values[pii.FEATURES.index("top_level")] == 3 and values[1] > 25)
+
+
 # The pipeline
 
 
