@@ -762,6 +762,38 @@ def ann_search(spark, sf_dir):
     return _rounded(ann.ann_search(table, path, query, probes=ANN_PROBES))
 
 
+@register(
+    "ann_recall",
+    sql.with_ctes(
+        _VECTORS,
+        "queries AS (SELECT id AS query_id, embedding AS q FROM vectors WHERE id % 50 = 0)",
+        f"""centres AS (SELECT embedding AS centre, md5(vec_id::VARCHAR) AS hash FROM embeddings
+            ORDER BY hash, vec_id LIMIT {ANN_LISTS})""",
+        """placed AS (SELECT id, arg_max(hash, list_cosine_similarity(embedding::DOUBLE[], centre::DOUBLE[])) AS list
+            FROM vectors, centres GROUP BY id)""",
+        f"""probed AS (SELECT query_id, hash FROM queries, centres QUALIFY row_number() OVER (PARTITION BY query_id
+            ORDER BY list_cosine_similarity(centre::DOUBLE[], q::DOUBLE[]) DESC) <= {ANN_PROBES})""",
+        f"scored AS (SELECT query_id, id, {_COSINE} AS similarity FROM queries, vectors)",
+        """exact AS (SELECT query_id, id FROM scored QUALIFY row_number() OVER (
+            PARTITION BY query_id ORDER BY round(similarity, 9) DESC, id) <= 10)""",
+        """found AS (SELECT s.query_id, s.id, 1 AS hit FROM scored s JOIN placed p USING (id)
+            JOIN probed b ON b.query_id = s.query_id AND b.hash = p.list QUALIFY row_number() OVER (
+            PARTITION BY s.query_id ORDER BY round(similarity, 9) DESC, s.id) <= 10)""",
+        """SELECT count(DISTINCT query_id) AS queries, round(count(hit) / count(*), 6) AS recall
+        FROM exact LEFT JOIN found USING (query_id, id)""",
+    ),
+)
+def ann_recall(spark, sf_dir):
+    """All ids divisible by 50 against all vectors: the recall of the lists at 10."""
+    table = views.vectors(spark, sf_dir)
+    path = scratch_path(spark, "ann")
+    ann.build_index(table, path, ANN_LISTS)
+    queries = table.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "embedding")
+    found = ann.ann_search_many(spark, path, queries, probes=ANN_PROBES)
+    measured = ann.recall(found, search.search_many(table, queries))
+    return measured.withColumn("recall", F.round("recall", 6))
+
+
 @register(
     "search_report",
     sql.with_ctes(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from folia.config import Settings
 from folia.functions.hashing import hash_embedding
+from folia.operators.ann import add_to_index
 from folia.operators.ids import with_dense_ids
 from folia.schemas import VECTORS
 
@@ -72,13 +73,19 @@ def store_chunks(
     dedupe: bool = False,
     embed: Embed | None = None,
 ) -> int:
-    """Append chunks to the table; returns the id from which they are numbered."""
+    """Append chunks to the table, and to the index of the settings if there is one.
+
+    Returns the id from which they are numbered.
+    """
     stored = spark.table(settings.vector_table)
     last_id = stored.agg(F.max("id")).first()[0] or 0
     rows = vector_rows(
         chunks, settings.embedding_dimensions, last_id + 1, stored if dedupe else None, embed
     )
     rows.write.mode("append").insertInto(settings.vector_table)
+    if settings.vector_index:
+        added = spark.table(settings.vector_table).where(F.col("id") > last_id)
+        add_to_index(added, settings.vector_index)
     return last_id + 1
 
 

@@ -199,6 +199,39 @@ def test_ann_recall_widening_and_appends(spark):
     assert {r.id for r in hit} == {3, 900}
 
 
+def test_ann_search_of_many_queries(spark):
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(600, 16))
+    table = spark.createDataFrame([*((i, row.tolist()) for i, row in enumerate(rows)), (601, None)], VECTOR)
+    path = scratch_path(spark, "ann")
+    ann.build_index(table, path, lists=12)
+    queries = table.where("id % 50 = 0").withColumnRenamed("id", "query_id")
+    found = ann.ann_search_many(spark, path, queries, 10, 3).collect()
+    for i in range(0, 600, 50):
+        own = sorted((r.rank, r.id) for r in found if r.query_id == i)
+        one = ann.ann_search(table, path, rows[i], 10, 3, ["id"]).collect()
+        assert [x for _, x in own] == [r.id for r in one]
+    exact = search.search_many(table, queries)
+    every = ann.ann_search_many(spark, path, queries, 10, 12)
+    assert ann.recall(every, exact).first() == (12, 1.0)
+    assert 0.3 < ann.recall(ann.ann_search_many(spark, path, queries, 10, 3), exact).first()["recall"] < 1
+    # Too few in the lists: further ones are searched.
+    assert ann.ann_search_many(spark, path, queries, 550, 1).count() == 12 * 550
+
+
+def test_stored_chunks_are_in_the_index(spark):
+    name = "indexed_" + uuid.uuid4().hex[:8]
+    index = scratch_path(spark, "ann")
+    settings = Settings(vector_table=name, embedding_dimensions=16, vector_index=index)
+    vectors.ensure_table(spark, settings, scratch_path(spark, "vectors"))
+    plain = Settings(vector_table=name, embedding_dimensions=16)
+    first = vectors.store_chunk(spark, "s", "f", 0, "one", [1.0] + [0.0] * 15, settings=plain)
+    ann.build_index(spark.table(name), index, lists=2)
+    later = vectors.store_chunk(spark, "s", "f", 1, "two", [0.0, 1.0] + [0.0] * 14, settings=settings)
+    hit = ann.ann_search(spark.table(name), index, [0.0, 1.0] + [0.0] * 14, 2, 2, ["id"]).collect()
+    assert [r.id for r in hit] == [later, first]
+
+
 # The table.
 
 CHUNKS = "source STRING, filename STRING, chunk_index INT, content STRING, metadata STRING"
