@@ -7,6 +7,7 @@ from folia.llm import (
     flatgraph,
     language,
     packing,
+    pairindex,
     pieces,
     pii,
     setjoin,
@@ -77,6 +78,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, F.col("pii.spans").alias("spans"))
 
 
+def op12_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = pairindex.encode(_table(spark, sf_dir, "documents"), path)
+    return pairindex.digests(pairindex.decode(encoded, path))
+
+
 def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.balanced_shards(_table(spark, sf_dir, "documents"), 8)
     return shards.select(
@@ -101,6 +108,7 @@ QUERIES = {
     "op8_vector_tree": op8_vector_tree,
     "op9_balanced_shards": op9_balanced_shards,
     "op10_personal_data": op10_personal_data,
+    "op12_pair_index": op12_pair_index,
 }
 
 ORACLES: dict[str, str] = {}

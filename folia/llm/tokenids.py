@@ -33,7 +33,7 @@ def as_text(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts.cast(pa.large_string()), "")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte.
 
     Printable Latin-1 signs stand for themselves, all others for the code points from 256.
@@ -43,6 +43,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def plain_word(word: str) -> tuple[str, str] | None:
+    """The letters of a word and the run of other signs after them, if it is so simple."""
+    plain = _PLAIN.fullmatch(word)
+    return (plain[1], plain[2]) if plain else None
+
+
 class WordMemory:
     """Puts the ids of texts together from those of their words, which it remembers.
 
@@ -185,7 +191,7 @@ class WordEncoder(WordMemory):
         self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
         self._parts: dict[str, tuple[int, ...]] = {}
-        self._table = _byte_letters()
+        self._table = byte_letters()
 
     def _part(self, text: str) -> list[int]:
         """Ids of one part that the vocabulary's pattern does not cut further."""
@@ -209,14 +215,14 @@ class WordEncoder(WordMemory):
         found: list[list[int] | None] = []
         rest: list[str] = []
         for word in map(self._spelt, words):
-            plain = _PLAIN.fullmatch(word)
+            plain = plain_word(word)
             if plain is None:
                 rest.append(word)
                 found.append(None)
                 continue
-            letters = plain[1] if self._spaces else plain[1].lower()
+            letters = plain[0] if self._spaces else plain[0].lower()
             ids = self._part(letters)
-            found.append(ids + self._part(plain[2]) if plain[2] else ids)
+            found.append(ids + self._part(plain[1]) if plain[1] else ids)
         others = iter(self._tokenizer.encode_batch_fast(rest, add_special_tokens=False))
         return [next(others).ids if ids is None else ids for ids in found]
 
@@ -232,9 +238,8 @@ def encoder(path: str, spaces: bool) -> WordEncoder:
     return _ENCODERS[key]
 
 
-def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20):
-    """Parts of a batch holding about ``limit`` bytes of text, or a single long text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int):
+    """Parts of a batch whose rows' sizes sum up to about ``limit``, or single large rows."""
     ends = np.cumsum(sizes)
     start = 0
     while start < batch.num_rows:
@@ -242,3 +247,9 @@ def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20)
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20):
+    """Parts of a batch holding about ``limit`` bytes of text, or a single long text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    return slices(batch, sizes, limit)
