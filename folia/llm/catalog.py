@@ -12,6 +12,7 @@ from folia.llm import (
     pii,
     setjoin,
     sharding,
+    spelling,
     suffixes,
     tokenfiles,
     vectortree,
@@ -78,6 +79,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, F.col("pii.spans").alias("spans"))
 
 
+def op11_position_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+    return grouped.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     encoded = pairindex.encode(_table(spark, sf_dir, "documents"), path)
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_vector_tree": op8_vector_tree,
     "op9_balanced_shards": op9_balanced_shards,
     "op10_personal_data": op10_personal_data,
+    "op11_position_index": op11_position_index,
     "op12_pair_index": op12_pair_index,
 }
 
