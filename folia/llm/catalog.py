@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from folia.llm import (
     flatgraph,
     language,
+    oracles,
     packing,
     pairindex,
     pieces,
     pii,
+    prefixtrie,
     setjoin,
     sharding,
     spelling,
@@ -90,6 +92,10 @@ def op12_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairindex.digests(pairindex.decode(encoded, path))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(_table(spark, sf_dir, "conversations"), prefixtrie.Heads())
+
+
 def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.balanced_shards(_table(spark, sf_dir, "documents"), 8)
     return shards.select(
@@ -116,6 +122,10 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
     "op11_position_index": op11_position_index,
     "op12_pair_index": op12_pair_index,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_position_index": oracles.POSITION_INDEX,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
+}

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import duckdb
 import pytest
 
 from folia.llm import catalog, spelling
@@ -103,3 +104,15 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     counts = plain_words(rows)
     assert found(catalog.op11_position_index(spark, sf)) == plain_groups(counts)
+
+
+def test_queries_with_sql(spark):
+    """The queries that have SQL give its rows."""
+    sf = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    for name in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    for name, sql in catalog.ORACLES.items():
+        frame = catalog.QUERIES[name](spark, sf)
+        told = duck.execute(f"SELECT {', '.join(frame.columns)} FROM ({sql})").fetchall()
+        assert sorted(map(tuple, frame.collect()), key=str) == sorted(told, key=str)
