@@ -13,11 +13,11 @@ class Settings:
     chunk_overlap: int = 200
     embedding_dimensions: int = 768
     vector_table: str = "document_chunks"
-    # The folder of an index of inverted lists that stored vectors are added to; empty: none.
-    vector_index: str = ""
     # ``None``: all pending files.
     max_files_per_run: int | None = 50
     top_k: int = 10
+    # The folder of an index that stored vectors are added to; empty: none.
+    vector_index: str = ""
 
     def __post_init__(self):
         if self.chunk_overlap > self.chunk_size:

@@ -19,15 +19,19 @@ from folia.sources.index import add_to_index, read_index
 from folia.sources.results import keep_path_winners, with_output_path, write_results
 from folia.sources.vectors import Embed
 
+# Failed files that an error names; the others are in its DataFrame.
+NAMED = 100
+
+
 class FilesFailed(RuntimeError):
     """Some files of a run failed; all bookkeeping was done before this was raised.
 
-    ``failures`` has the outcomes of all of them.
+    The message and ``names`` have the first names in order, ``failures`` the outcomes of all.
     """
 
-    def __init__(self, message: str, failures: DataFrame):
+    def __init__(self, message: str, failures: DataFrame, names: list[str]):
         super().__init__(message)
-        self.failures = failures
+        self.failures, self.names = failures, names
 
 
 def run_scheduled(
@@ -64,5 +68,8 @@ def run_scheduled(
     number = failed.count()
     if number:
         where = f"{dead_letter_path}/run={run}"
-        raise FilesFailed(f"{number} file(s) failed processing in run {run}, see {where}", failed)
+        names = [r[0] for r in failed.select("filename").orderBy("filename").limit(NAMED).collect()]
+        listed = ", ".join(names) + (f" and {number - len(names)} more" if number > len(names) else "")
+        message = f"{number} file(s) failed processing in run {run}: {listed}; see {where}"
+        raise FilesFailed(message, failed, names)
     return results

@@ -211,6 +211,7 @@ def test_scheduled_runs(spark, tmp_path, settings):
     with pytest.raises(FilesFailed, match="2 file.*run one.*dead/run=one") as failed:
         run_scheduled(files, documents, *paths, settings, run="one")
     assert {r.filename for r in failed.value.failures.collect()} == {"b.pdf", "c.pdf"}
+    assert failed.value.names == ["b.pdf", "c.pdf"] and "b.pdf, c.pdf;" in str(failed.value)
     with pytest.raises(FilesFailed):
         run_scheduled(files.where("name > 'a' AND name < 'd'"), documents, *paths, settings, run="two")
     done = index.read_index(spark, paths[0])
