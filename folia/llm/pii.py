@@ -11,8 +11,10 @@ to a given precision on examples kept out of training.
 """
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -57,7 +59,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def _valid(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        parts = (p.lstrip("0") for p in found.split("."))
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
     if kind == "card":
         digits = _digits(found)
         return 12 <= len(digits) <= 19 and luhn(digits)
@@ -66,6 +69,25 @@ def _valid(kind: str, found: str) -> bool:
     return True
 
 
+class _Taken:
+    """Whether a span meets one of many others, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        self._starts = [s[0] for s in spans]
+        # The furthest end of the spans up to each one; spans come by their starts.
+        self._ends = list(accumulate((s[1] for s in spans), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self._starts, end)
+        return before > 0 and self._ends[before - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Add a span that meets none."""
+        at = bisect_left(self._starts, start)
+        self._starts.insert(at, start)
+        self._ends.insert(at, end)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """The sure spans ``(start, end, kind)``, by start and then by kind."""
     spans = [(a, b, "email") for a, b in _emails(text)]
@@ -237,9 +259,9 @@ def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
             shown = _GENERATORS[kind].search(written)
             if shown and shown[0] == written and (label or not _base_equal(written, kind)):
                 yield features(written, kind, *sides), label
+    taken = _Taken(base)
     for start, end, kind in proposals(text):
-        clear = not any(a < end and start < b for a, b, _ in base)
-        if clear and fails_check(text[start:end], kind):
+        if not taken.meets(start, end) and fails_check(text[start:end], kind):
             yield features(text[start:end], kind, *around(start, end)), 0
 
 
@@ -371,7 +393,8 @@ def all_spans(
     """The base spans and those that the trees add; added ones overlap nothing."""
     if model is None:
         return base
-    open_ones = [p for p in proposals(text) if not any(a < p[1] and p[0] < b for a, b, _ in base)]
+    covered = _Taken(base)
+    open_ones = [p for p in proposals(text) if not covered.meets(p[0], p[1])]
     if not open_ones:
         return base
     rows = np.array(
@@ -383,10 +406,12 @@ def all_spans(
     )
     scores = model.scores(rows)
     chosen: list[tuple[int, int, str]] = []
+    taken = _Taken([])
     for i in sorted(range(len(open_ones)), key=lambda i: (-scores[i], open_ones[i])):
         start, end, kind = open_ones[i]
-        if scores[i] >= model.thresholds[kind] and not any(a < end and start < b for a, b, _ in chosen):
+        if scores[i] >= model.thresholds[kind] and not taken.meets(start, end):
             chosen.append(open_ones[i])
+            taken.add(start, end)
     return sorted([*base, *chosen], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
