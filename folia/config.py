@@ -18,6 +18,8 @@ class Settings:
     top_k: int = 10
     # The folder of an index that stored vectors are added to; empty: none.
     vector_index: str = ""
+    # The folder of a log of vectors that takes the table's place; empty: none.
+    vector_log: str = ""
 
     def __post_init__(self):
         if self.chunk_overlap > self.chunk_size:

@@ -18,7 +18,8 @@ from folia.sources.results import (
     with_output_path,
     write_results,
 )
-from folia.sources.vectors import Embed, ensure_table, store_chunks, vector_rows
+from folia.sources.vectorrows import Embed, vector_rows
+from folia.sources.vectors import ensure_table, store_chunks
 
 
 def select_pdfs(extracted: DataFrame, prefix: str = "") -> DataFrame:
@@ -93,7 +94,7 @@ def run_batch(
     """Process a prefix; write the result records (if a path is given) and store the vectors.
 
     ``outputs`` has the URI that names each result and, in ``stored_at``, the folder that
-    holds its record. ``embed`` is a model's step, see ``sources.vectors.vector_rows``.
+    holds its record. ``embed`` is a model's step, see ``sources.vectorrows.vector_rows``.
     """
     run = run or run_name()
     processed = process_prefix(extracted, prefix, settings)

@@ -17,7 +17,7 @@ from folia.plans.batch import embed_and_store, run_name
 from folia.session import materialise
 from folia.sources.index import add_to_index, read_index
 from folia.sources.results import keep_path_winners, with_output_path, write_results
-from folia.sources.vectors import Embed
+from folia.sources.vectorrows import Embed
 
 # Failed files that an error names; the others are in its DataFrame.
 NAMED = 100

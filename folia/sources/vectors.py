@@ -2,30 +2,32 @@
 
 A batch is appended by one write job, which commits all of its rows or none.
 Appending does not look for earlier copies: storing a document twice stores its
-chunks twice, unless ``dedupe`` is asked for. Ids continue from the largest stored
-one, so appends must come from one writer at a time.
+chunks twice, unless ``dedupe`` is asked for. In a table of the catalog, ids continue from the
+largest stored one, so appends must come from one writer at a time; with ``Settings.vector_log``
+the table is a folder that any number of writers append to, see :mod:`folia.sources.vectorlog`.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folia.config import Settings
-from folia.functions.hashing import hash_embedding
 from folia.operators.ann import add_to_index
-from folia.operators.ids import with_dense_ids
+from folia.operators.quantised import add_to_quantised_index, is_quantised
 from folia.schemas import VECTORS
-
-# A step that adds the vectors, such as ``embed_with_model`` with its model filled in.
-Embed = Callable[[DataFrame], DataFrame]
-
-_REQUIRED = ("source", "filename", "chunk_index", "content")
+from folia.sources.vectorlog import VectorLog
+from folia.sources.vectorrows import REQUIRED, Embed, vector_rows
 
 
 def ensure_table(
     spark: SparkSession, settings: Settings = Settings(), location: str | None = None
 ) -> None:
-    """Create the table if it is not there; with a location, as an external one."""
+    """Create the table if it is not there; with a location, as an external one.
+
+    A log needs no table.
+    """
+    if settings.vector_log:
+        return
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in VECTORS.fields)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
@@ -33,37 +35,11 @@ def ensure_table(
     )
 
 
-def vector_rows(
-    chunks: DataFrame,
-    dims: int,
-    first_id: int = 1,
-    dedupe_against: DataFrame | None = None,
-    embed: Embed | None = None,
-) -> DataFrame:
-    """Chunks as rows of the table, with ids in (source, chunk_index) order.
-
-    ``chunks`` holds source, filename, chunk_index, content, metadata (NULL becomes
-    ``{}``) and, if the vectors exist already, embedding; otherwise the content is
-    embedded, after the ids are assigned, so vectors are never shuffled. ``embed`` adds
-    ``embedding`` to a frame with ``content``; without it, the feature hash is used.
-    """
-    if dedupe_against is not None:
-        stored = dedupe_against.select("source", "chunk_index").distinct()
-        chunks = chunks.join(stored, ["source", "chunk_index"], "left_anti")
-    numbered = with_dense_ids(chunks, ["source", "chunk_index"], first_id)
-    if embed is not None and "embedding" not in chunks.columns:
-        numbered = embed(numbered)
-    if "embedding" in numbered.columns:
-        vector = _checked_size(F.col("embedding").cast("array<float>"), dims)
-    else:
-        vector = hash_embedding(F.col("content"), dims)
-    return numbered.select(
-        "id",
-        *(_not_null(name) for name in _REQUIRED),
-        vector.alias("embedding"),
-        F.coalesce("metadata", F.lit("{}")).alias("metadata"),
-        F.current_timestamp().alias("created_at"),
-    )
+def stored_table(spark: SparkSession, settings: Settings = Settings()) -> DataFrame:
+    """The stored rows, of the table or of the log."""
+    if settings.vector_log:
+        return VectorLog(spark, settings.vector_log).table()
+    return spark.table(settings.vector_table)
 
 
 def store_chunks(
@@ -77,6 +53,8 @@ def store_chunks(
 
     Returns the id from which they are numbered.
     """
+    if settings.vector_log:
+        return VectorLog(spark, settings.vector_log).append(chunks, settings, dedupe, embed)
     stored = spark.table(settings.vector_table)
     last_id = stored.agg(F.max("id")).first()[0] or 0
     rows = vector_rows(
@@ -85,7 +63,8 @@ def store_chunks(
     rows.write.mode("append").insertInto(settings.vector_table)
     if settings.vector_index:
         added = spark.table(settings.vector_table).where(F.col("id") > last_id)
-        add_to_index(added, settings.vector_index)
+        add = add_to_quantised_index if is_quantised(spark, settings.vector_index) else add_to_index
+        add(added, settings.vector_index)
     return last_id + 1
 
 
@@ -100,25 +79,9 @@ def store_chunk(
     settings: Settings = Settings(),
 ) -> int:
     """Append one chunk and return its id."""
-    names = [*_REQUIRED, "embedding", "metadata"]
+    names = [*REQUIRED, "embedding", "metadata"]
     chunk = spark.createDataFrame(
         [(source, filename, chunk_index, content, list(embedding), metadata)],
         T.StructType([VECTORS[name] for name in names]),
     )
     return store_chunks(spark, chunk, settings)
-
-
-def _not_null(name: str) -> Column:
-    message = F.lit(f"{name} must not be NULL")
-    kind = VECTORS[name].dataType
-    return F.coalesce(name, F.raise_error(message).cast(kind)).alias(name)
-
-
-def _checked_size(vector: Column, dims: int) -> Column:
-    wrong = F.concat(
-        F.lit(f"expected {dims} dimensions, not "), F.size(vector).cast("string")
-    )
-    checked = F.when(F.size(vector) == dims, vector).otherwise(
-        F.raise_error(wrong).cast("array<float>")
-    )
-    return F.when(vector.isNotNull(), checked)
