@@ -1,5 +1,7 @@
 """Every operator as a registered query: a DataFrame, and its SQL where there is one."""
 
+import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -9,12 +11,13 @@ from folia.config import Settings
 from folia.functions import cleaning, metadata as meta, naming
 from folia.functions.splitting import split_pieces
 from folia.functions.vectors import cosine_similarity
-from folia.operators import ann, documents as docs, embedding, runs, search
+from folia.operators import ann, documents as docs, embedding, quantised, runs, search
 from folia.operators.ids import with_dense_ids
-from folia.plans import batch
+from folia.plans import batch, scheduled
 from folia.session import materialise, scratch_path
 from folia.sources import index, objects, results, vectors
 from folia.sources.spread import spread
+from folia.sources.vectorlog import VectorLog
 from folia.streaming import notifications as notes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,6 +510,31 @@ def store_chunks(spark, sf_dir):
     return _stored(spark, sf_dir).select("id", "source", "filename", "chunk_index", "content")
 
 
+# Ids that a writer reserves before it dies.
+_LOST = 100
+
+
+@register(
+    "append_log",
+    sql.with_ctes(
+        *sql.STORED,
+        f"""SELECT row_number() OVER (ORDER BY chunk_index % 2, source, chunk_index)
+            + CASE WHEN chunk_index % 2 = 1 THEN {_LOST} ELSE 0 END AS id,
+        source, filename, chunk_index, content FROM stored""",
+    ),
+)
+def append_log(spark, sf_dir):
+    """Chunks of even and of odd index by two writers; a third one dies between the two."""
+    processed = batch.process_prefix(views.extracted(spark, sf_dir))
+    chunks = materialise(results.result_chunks(processed), "chunks")
+    root = scratch_path(spark, "vectors")
+    for odd in (0, 1):
+        log = VectorLog(spark, root)
+        log.append(chunks.where(F.col("chunk_index") % 2 == odd), SETTINGS)
+        log.log.commit(lambda state: {"kind": "reserve", "first_id": state.next_id, "rows": _LOST})
+    return log.table().select("id", "source", "filename", "chunk_index", "content")
+
+
 @register(
     "store_index_fallback",
     sql.with_ctes(
@@ -762,36 +790,29 @@ def ann_search(spark, sf_dir):
     return _rounded(ann.ann_search(table, path, query, probes=ANN_PROBES))
 
 
+# What the search over codes must reach: its hits depend on trained codebooks, so SQL only
+# says what has to hold.
+ANN_RECALL, ANN_SHARE = 0.9, 0.4
+
+
 @register(
     "ann_recall",
-    sql.with_ctes(
-        _VECTORS,
-        "queries AS (SELECT id AS query_id, embedding AS q FROM vectors WHERE id % 50 = 0)",
-        f"""centres AS (SELECT embedding AS centre, md5(vec_id::VARCHAR) AS hash FROM embeddings
-            ORDER BY hash, vec_id LIMIT {ANN_LISTS})""",
-        """placed AS (SELECT id, arg_max(hash, list_cosine_similarity(embedding::DOUBLE[], centre::DOUBLE[])) AS list
-            FROM vectors, centres GROUP BY id)""",
-        f"""probed AS (SELECT query_id, hash FROM queries, centres QUALIFY row_number() OVER (PARTITION BY query_id
-            ORDER BY list_cosine_similarity(centre::DOUBLE[], q::DOUBLE[]) DESC) <= {ANN_PROBES})""",
-        f"scored AS (SELECT query_id, id, {_COSINE} AS similarity FROM queries, vectors)",
-        """exact AS (SELECT query_id, id FROM scored QUALIFY row_number() OVER (
-            PARTITION BY query_id ORDER BY round(similarity, 9) DESC, id) <= 10)""",
-        """found AS (SELECT s.query_id, s.id, 1 AS hit FROM scored s JOIN placed p USING (id)
-            JOIN probed b ON b.query_id = s.query_id AND b.hash = p.list QUALIFY row_number() OVER (
-            PARTITION BY s.query_id ORDER BY round(similarity, 9) DESC, s.id) <= 10)""",
-        """SELECT count(DISTINCT query_id) AS queries, round(count(hit) / count(*), 6) AS recall
-        FROM exact LEFT JOIN found USING (query_id, id)""",
-    ),
+    "SELECT count(*) AS queries, true AS found_enough, true AS read_few FROM embeddings WHERE vec_id % 50 = 0",
 )
 def ann_recall(spark, sf_dir):
-    """All ids divisible by 50 against all vectors: the recall of the lists at 10."""
+    """All ids divisible by 50 against all vectors: the recall at 10, and the vectors compared."""
     table = views.vectors(spark, sf_dir)
-    path = scratch_path(spark, "ann")
-    ann.build_index(table, path, ANN_LISTS)
+    path = scratch_path(spark, "codes")
+    quantised.build_quantised_index(table, path)
     queries = table.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "embedding")
-    found = ann.ann_search_many(spark, path, queries, probes=ANN_PROBES)
+    found = quantised.quantised_search_many(spark, path, queries)
     measured = ann.recall(found, search.search_many(table, queries))
-    return measured.withColumn("recall", F.round("recall", 6))
+    share = F.lit(quantised.load_depth(spark, path).compared) / F.lit(table.count())
+    return measured.select(
+        "queries",
+        (F.col("recall") >= ANN_RECALL).alias("found_enough"),
+        (share <= ANN_SHARE).alias("read_few"),
+    )
 
 
 @register(
@@ -901,6 +922,65 @@ def _outcomes(spark, sf_dir):
     return runs.outcomes(results.with_output_path(docs.process(documents)))
 
 
+# Chunks of such a length are too much for the model of the scheduled run.
+_BAD_LENGTH = "% 97 = 5"
+
+
+def _fussy_model():
+    def embed(texts):
+        for text in texts:
+            if len(text) % 97 == 5:
+                raise ValueError(f"cannot embed {len(text)} characters")
+        return [[float(len(text)), 1.0] for text in texts]
+
+    return embed
+
+
+@register(
+    "scheduled_run",
+    sql.with_ctes(
+        *sql.PROCESSED_CHUNKS,
+        *_PENDING,
+        f"""refused AS (SELECT doc_id, 'cannot embed ' || arg_min(length(content), chunk_index) || ' characters' AS error
+            FROM chunks WHERE length(content) {_BAD_LENGTH} GROUP BY doc_id)""",
+        """told AS (SELECT p.*, coalesce(p.error, r.error) AS problem
+            FROM processed p LEFT JOIN refused r USING (doc_id) WHERE source IN (SELECT uri FROM pending))""",
+        """SELECT CASE WHEN problem IS NULL THEN 'success' ELSE 'failed' END AS status, source AS gcs_uri,
+            CASE WHEN problem IS NULL THEN output_path END AS output_path,
+            CASE WHEN problem IS NULL THEN filename ELSE name END AS filename, problem AS error,
+            problem IS NULL AS in_index, problem IS NOT NULL AS dead,
+            CASE WHEN problem IS NULL THEN text_chunk_count ELSE 0 END AS stored,
+            error IS NULL AND name IN (SELECT max(name) FROM told WHERE error IS NULL GROUP BY output_path) AS written
+        FROM told""",
+    ),
+)
+def scheduled_run(spark, sf_dir):
+    """A whole run with a model that refuses some chunks, and what it left in every place."""
+    root = scratch_path(spark, "run")
+    places = [f"{root}/{name}" for name in ("index", "results", "dead")]
+    index.add_to_index(views.processed_index(spark, sf_dir), places[0])
+    settings = dataclasses.replace(
+        SETTINGS, max_files_per_run=None, embedding_dimensions=2, vector_log=f"{root}/vectors"
+    )
+    embed = functools.partial(embedding.embed_or_fail, text="content", load_model=_fussy_model)
+    listing, extracted = views.files(spark, sf_dir), views.extracted(spark, sf_dir).drop("doc_id")
+    told = scheduled.run_scheduled(listing, extracted, *places, settings, "run", embed=embed, fail=False)
+    done = index.read_index(spark, places[0])
+    dead = runs.current_dead_letters(spark, places[2], done).select(
+        F.get_json_object("record", "$.gcs_uri").alias("gcs_uri"), F.lit(True).alias("dead")
+    )
+    stored = vectors.stored_table(spark, settings).groupBy(F.col("source").alias("gcs_uri"))
+    written = results.current_results(spark, places[1]).select(
+        F.col("source").alias("gcs_uri"), F.lit(True).alias("written")
+    )
+    joined = told.join(done.select(F.col("uri").alias("gcs_uri"), F.lit(True).alias("in_index")), "gcs_uri", "left")
+    joined = joined.join(dead, "gcs_uri", "left").join(written, "gcs_uri", "left")
+    joined = joined.join(stored.agg(F.count("*").alias("stored")), "gcs_uri", "left")
+    marks = [F.coalesce(c, F.lit(False)).alias(c) for c in ("in_index", "dead", "written")]
+    number = F.coalesce("stored", F.lit(0)).alias("stored")
+    return joined.select("status", "gcs_uri", "output_path", "filename", "error", *marks, number)
+
+
 @register(
     "process_outcomes",
     sql.with_ctes(

@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from folia.functions.hashing import hash_embedding
@@ -44,6 +45,62 @@ def embed_with_model(
     return frame.mapInPandas(embed, schema)
 
 
+def embed_or_fail(
+    frame: DataFrame,
+    text: str,
+    load_model: Callable[[], Callable[[list[str]], list]],
+    output: str = "embedding",
+    error: str = "error",
+    batch: int = 256,
+) -> DataFrame:
+    """Like :func:`embed_with_model`, but a text the model fails on does not stop the others.
+
+    A call that raises, or returns another number of vectors than texts, is repeated with each
+    half of its texts, until the guilty text stands alone: it gets no vector, and the message
+    in ``error``. So one bad text in a call of ``n`` costs about ``2 log2(n)`` more calls. A model that
+    cannot be loaded fails the task. A column of either name in ``frame`` is an error.
+    """
+    clash = {output, error} & set(frame.columns)
+    if clash:
+        raise ValueError(f"the frame has a column {sorted(clash)[0]} already")
+
+    def attempt(model: Callable[[list[str]], list], texts: list[str]) -> list[tuple]:
+        try:
+            vectors = list(model(texts))
+            if len(vectors) != len(texts):
+                raise ValueError("the model returned another number of vectors than texts")
+            return [([float(x) for x in v], None) for v in vectors]
+        except Exception as failure:  # whatever a model raises belongs to its texts
+            if len(texts) == 1:
+                return [(None, str(failure) or type(failure).__name__)]
+        half = len(texts) // 2
+        return attempt(model, texts[:half]) + attempt(model, texts[half:])
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
+        for rows in batches:
+            model = model or load_model()
+            for first in range(0, rows.num_rows, batch):
+                part = rows.slice(first, batch)
+                vectors, messages = zip(*attempt(model, part.column(text).to_pylist()))
+                part = part.append_column(output, pa.array(vectors, pa.list_(pa.float32())))
+                yield part.append_column(error, pa.array(messages, pa.string()))
+
+    more = [T.StructField(output, T.ArrayType(T.FloatType())), T.StructField(error, T.StringType())]
+    return frame.mapInArrow(embed, T.StructType([*frame.schema.fields, *more]))
+
+
+def failed_documents(chunks: DataFrame) -> DataFrame:
+    """``source`` and the ``error`` of its first failed chunk, for documents with one."""
+    failed = chunks.where(F.col("error").isNotNull())
+    return failed.groupBy("source").agg(F.min_by("error", "chunk_index").alias("error"))
+
+
+def without_failed(chunks: DataFrame, failed: DataFrame) -> DataFrame:
+    """The chunks of documents none of whose chunks has failed."""
+    return chunks.join(failed.select("source"), "source", "left_anti").drop("error")
+
+
 def zip_embeddings(documents: DataFrame, chunks: str, embeddings: str) -> DataFrame:
     """Pair each document's chunks and vectors by position, one row per pair.
 

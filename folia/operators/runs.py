@@ -9,6 +9,7 @@ from folia.operators.documents import NOT_EXTRACTED
 from folia.session import materialise
 from folia.sources.objects import pdfs, without_control_files
 
+
 def pending_files(listing: DataFrame, processed: DataFrame) -> DataFrame:
     """PDFs outside the control folder whose URI is not in the index.
 
@@ -58,6 +59,13 @@ def outcomes(processed: DataFrame) -> DataFrame:
     )
 
 
+def with_errors(processed: DataFrame, failed: DataFrame) -> DataFrame:
+    """Processed documents with the errors that came up after processing, by ``source``."""
+    later = failed.select("source", F.col("error").alias("_later"))
+    joined = processed.join(later, "source", "left")
+    return joined.withColumn("error", F.coalesce("error", "_later")).select(processed.columns)
+
+
 def successes(results: DataFrame) -> DataFrame:
     return results.where(F.col("status") == "success")
 

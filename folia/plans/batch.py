@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from folia.config import Settings
 from folia.functions.naming import basename, object_uri
 from folia.operators.documents import process, succeeded
+from folia.operators.embedding import failed_documents, without_failed
 from folia.session import materialise
 from folia.sources.objects import pdfs, under_prefix
 from folia.sources.results import (
@@ -58,11 +59,23 @@ def embed_and_store(
     settings: Settings = Settings(),
     dedupe: bool = False,
     embed: Embed | None = None,
-) -> None:
-    """Append the chunks of processed documents to the vector table."""
+) -> DataFrame:
+    """Append the chunks of processed documents to the vector table.
+
+    Returns ``source`` and ``error`` of the documents that ``embed`` marks as failed in a column
+    ``error``; none of their chunks is stored.
+    """
     spark = processed.sparkSession
     ensure_table(spark, settings)
-    store_chunks(spark, result_chunks(processed), settings, dedupe, embed)
+    chunks = result_chunks(processed)
+    embedded = embed(chunks) if embed is not None else chunks
+    if "error" not in embedded.columns:
+        store_chunks(spark, chunks, settings, dedupe, embed)
+        return spark.createDataFrame([], "source string, error string")
+    embedded = materialise(embedded, "embedded")
+    failed = materialise(failed_documents(embedded), "failed")
+    store_chunks(spark, without_failed(embedded, failed), settings, dedupe)
+    return failed
 
 
 def stored_view(processed: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -79,6 +92,8 @@ def run_name() -> str:
 class BatchRun:
     processed: DataFrame
     outputs: DataFrame
+    # Documents whose chunks could not be embedded, with the model's message.
+    failed: DataFrame | None = None
 
 
 def run_batch(
@@ -104,11 +119,10 @@ def run_batch(
         processed = materialise(processed, "processed")
     if results_path:
         write_results(keep_path_winners(processed, files), results_path, run)
-    if store:
-        embed_and_store(processed, settings, dedupe, embed)
+    failed = embed_and_store(processed, settings, dedupe, embed) if store else None
     stored_at = F.lit(run_folder(results_path, run) if results_path else None).cast("string")
     outputs = output_uris(files, settings).withColumn("stored_at", stored_at)
-    return BatchRun(processed, outputs)
+    return BatchRun(processed, outputs, failed)
 
 
 def store_results(
@@ -118,8 +132,6 @@ def store_results(
     multi_line: bool = False,
     dedupe: bool = False,
     embed: Embed | None = None,
-) -> None:
-    """Embed and store the chunks of results written earlier."""
-    ensure_table(spark, settings)
-    chunks = result_chunks(read_results(spark, path, multi_line))
-    store_chunks(spark, chunks, settings, dedupe, embed)
+) -> DataFrame:
+    """Embed and store the chunks of results written earlier; returns the documents that failed."""
+    return embed_and_store(read_results(spark, path, multi_line), settings, dedupe, embed)

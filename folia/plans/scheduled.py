@@ -11,6 +11,7 @@ from folia.operators.runs import (
     outcomes,
     pending_files,
     successes,
+    with_errors,
     write_dead_letters,
 )
 from folia.plans.batch import embed_and_store, run_name
@@ -44,11 +45,14 @@ def run_scheduled(
     run: str | None = None,
     dedupe: bool = False,
     embed: Embed | None = None,
+    fail: bool = True,
 ) -> DataFrame:
     """Process the pending files and return their outcomes.
 
     Failures stay out of the index, so the next run tries them again. With ``dedupe`` a run
-    that broke off after storing its vectors can be repeated without storing them twice.
+    that broke off after storing its vectors can be repeated without storing them twice. A file
+    whose chunks ``embed`` marks as failed has failed, though its result is written. Without
+    ``fail`` no error is raised for files that failed.
     """
     spark = listing.sparkSession
     run = run or run_name()
@@ -56,17 +60,16 @@ def run_scheduled(
     taken = capped(pending, settings.max_files_per_run)
     documents = attach_extracted(taken, extracted)
     processed = materialise(with_output_path(process(documents, settings)), "processed")
-    results = outcomes(processed)
-
     good = succeeded(processed)
     write_results(keep_path_winners(good, good), results_path, run)
-    embed_and_store(good, settings, dedupe, embed)
+    not_embedded = embed_and_store(good, settings, dedupe, embed)
+    results = outcomes(with_errors(processed, not_embedded) if embed is not None else processed)
     add_to_index(successes(results).selectExpr("gcs_uri AS uri"), index_path)
     write_dead_letters(results, dead_letter_path, run)
 
     failed = failures(results)
     number = failed.count()
-    if number:
+    if number and fail:
         where = f"{dead_letter_path}/run={run}"
         names = [r[0] for r in failed.select("filename").orderBy("filename").limit(NAMED).collect()]
         listed = ", ".join(names) + (f" and {number - len(names)} more" if number > len(names) else "")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folia.config import Settings
 from folia.functions import naming
 from folia.operators import runs
-from folia.operators.embedding import embed_with_model
+from folia.operators.embedding import embed_or_fail, embed_with_model
 from folia.operators.documents import NOT_EXTRACTED, process
 from folia.plans import batch
 from folia.plans.scheduled import FilesFailed, run_scheduled
@@ -273,6 +273,58 @@ def test_a_model_in_the_plans(spark, tmp_path, settings):
     assert all(json.loads(r.metadata)["extracted_at"].endswith("Z") for r in rows) and records
 
 
+def picky(calls, bad):
+    def load():
+        def model(texts):
+            with open(calls, "a") as file:
+                file.write(f"{len(texts)}\n")
+            if any(b in t for t in texts for b in bad):
+                raise RuntimeError(next(b for t in texts for b in bad if b in t))
+            return [[float(len(t))] * 16 for t in texts][: None if "short" not in "".join(texts) else -1]
+
+        return model
+
+    return load
+
+
+def test_a_failing_call_is_halved(spark, tmp_path):
+    """Only the guilty texts fail, at the cost of a few calls for each of them."""
+    texts = [f"text {i}" for i in range(500)]
+    texts[37], texts[38], texts[444], texts[3] = "very bad", None, "worse", "short"
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, content string").coalesce(1)
+
+    def load():
+        model = picky(tmp_path / "calls", ["bad", "worse"])()
+        return lambda texts: model(["".join(t) for t in texts])
+
+    found = embed_or_fail(rows, "content", load).collect()
+    failed = {r["i"]: r["error"] for r in found if r["error"] is not None}
+    assert set(failed) == {37, 38, 444, 3} and failed[37] == "bad" and failed[444] == "worse"
+    assert "another number" in failed[3] and "iterable" in failed[38]
+    assert all((r["embedding"] is None) == (r["i"] in failed) for r in found) and len(found) == 500
+    assert len((tmp_path / "calls").read_text().split()) <= 2 + 4 * 2 * 9
+    with pytest.raises(ValueError, match="already"):
+        embed_or_fail(found and rows.withColumnRenamed("i", "error"), "content", load)
+    assert embed_or_fail(rows.where("i < 0"), "content", load).count() == 0
+
+
+def test_a_model_that_refuses_a_document(spark, tmp_path, settings):
+    """One refused chunk fails its document alone, in scheduled and in batch runs."""
+    embed = functools.partial(embed_or_fail, text="content", load_model=picky(tmp_path / "calls", ["refuse"]))
+    documents = extracted(
+        spark, ("a.pdf", TEXT, [], None), ("b.pdf", TEXT + " refuse this", [], None), ("bad.pdf", None, None, "bad")
+    )
+    places = [str(tmp_path / name) for name in "ird"]
+    with pytest.raises(FilesFailed, match="2 file") as failed:
+        run_scheduled(listing(spark, "a.pdf", "b.pdf", "bad.pdf"), documents, *places, settings, embed=embed)
+    assert {r.filename: r.error for r in failed.value.failures.collect()} == {"b.pdf": "refuse", "bad.pdf": "bad"}
+    assert {r.filename for r in spark.table(settings.vector_table).collect()} == {"a.pdf"}
+    assert {r.uri for r in index.read_index(spark, places[0]).collect()} == {BUCKET + "a.pdf"}
+    done = batch.run_batch(documents, None, store=True, settings=settings, embed=embed)
+    assert [tuple(r) for r in done.failed.collect()] == [(BUCKET + "b.pdf", "refuse")]
+    assert {r.filename for r in spark.table(settings.vector_table).collect()} == {"a.pdf"}
+
+
 def test_attach_extracted(spark):
     documents = extracted(spark, ("a.pdf", "x", [], None), ("b.pdf", None, None, "bad"))
     found = runs.attach_extracted(listing(spark, "a.pdf", "b.pdf", "c.pdf"), documents)
