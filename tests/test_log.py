@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folia.config import Settings
-from folia.operators import ann, quantised, search
+from folia.operators import ann, pivots, quantised, search
+from folia.operators.pivots import Pivots
 from folia.operators.quantised import Depth, Quantising
 from folia.session import scratch_path
 from folia.sources import commits, vectors
@@ -222,3 +223,47 @@ def test_many_entries(spark, root, monkeypatch):
         log.state()
     with pytest.raises(ValueError, match="unknown"):
         commits.State().after({"kind": "x"})
+
+
+def same_hits(spark, rows, asked, top_k, settings):
+    """Pivots against all with all; returns the share of the pairs that were compared."""
+    compared = spark.sparkContext.accumulator(0)
+    table = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<float>")
+    found = pivots.search_by_pivots(table, queries, top_k, settings, compared).collect()
+    exact = search.search_many(table, queries.where("embedding IS NOT NULL"), top_k).collect()
+
+    def told(hits):
+        rows = [(r["query_id"], r["rank"], r["id"], r["similarity"]) for r in hits]
+        return sorted((q, n, i, None if s is None or s != s else round(s, 9)) for q, n, i, s in rows)
+
+    assert told(found) == told(exact)
+    return compared.value / max(1, len(rows) * len(asked))
+
+
+def test_pivots(spark):
+    """The hits of comparing all with all, with far fewer comparisons where there are clusters."""
+    random = np.random.default_rng(8)
+    rows = []
+    for k in range(25):
+        centre = random.normal(0, 1, 24)
+        rows += [(100 * k + i, (centre + random.normal(0, 0.12, 24)).tolist()) for i in range(80)]
+    rows += [(9000 + i, rows[5][1]) for i in range(30)]
+    asked = [(i, v) for i, v in rows[::9]]
+    share = same_hits(spark, rows, asked, 10, Pivots(cells=64, per_cell=40, block=16))
+    assert 0 < share < 0.15
+    # Without clusters nothing can be left out, and nothing is lost.
+    loose = [(i, random.normal(0, 1, 24).tolist()) for i in range(400)]
+    assert same_hits(spark, loose, loose[:20], 7, Pivots(per_cell=30, block=8)) <= 1
+    # One cell, and more hits than a cell holds.
+    assert same_hits(spark, rows, asked[:5], 300, Pivots(cells=64, per_cell=40)) < 1
+    assert same_hits(spark, rows, asked[:5], 3, Pivots(cells=1)) <= 1
+
+
+def test_pivots_of_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, 1e-6]), (5, [-1.0, 0.0]), (6, [1.0, 0.0])]
+    asked = [(10, [1.0, 0.0]), (11, [0.0, 0.0]), (12, None)]
+    for top_k in (1, 3, 5, 9):
+        same_hits(spark, rows, asked, top_k, Pivots(per_cell=1, block=1))
+    same_hits(spark, rows[1:3], asked, 2, Pivots())
+    same_hits(spark, rows, asked[2:], 2, Pivots())
