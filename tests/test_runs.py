@@ -145,6 +145,30 @@ def test_results_round_trip_and_overwriting(spark, tmp_path):
     assert results.read_results(spark, path).count() == 2
 
 
+def test_index_is_not_shuffled(spark, tmp_path):
+    """A listing is joined with the index where the index lies."""
+    path = str(tmp_path / "index")
+    names = [f"d/{i}.pdf" for i in range(300)]
+    for part in (names[:100], names[50:200]):
+        index.add_to_index(spark.createDataFrame([(BUCKET + n,) for n in part], "uri STRING"), path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pending = runs.pending_files(listing(spark, *names), index.read_index(spark, path))
+        assert {r.name for r in pending.collect()} == set(names[200:])
+        plan = pending._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        final = plan.split("== Initial Plan ==")[0]
+        assert "Bucketed: true" in final and "SortMergeJoin" in final
+        assert final.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    index.compact_index(spark, path, str(tmp_path / "new"))
+    assert index.read_index(spark, str(tmp_path / "new")).count() == 200
+    assert len(list((tmp_path / "new_by_uri").glob("*.parquet"))) <= index.BUCKETS
+    with pytest.raises(FileExistsError):
+        index.compact_index(spark, path, str(tmp_path / "new"))
+
+
 def test_a_third_of_all_files_on_one_path(spark, tmp_path):
     hot = [(f"d{i:03}/same.pdf", f"text {i}", [], None) for i in range(100)]
     others = [(f"d/{i}.pdf", f"text {i}", [], None) for i in range(200)]
