@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from folia.functions.naming import iso_utc, result_path
 from folia.schemas import LAYOUT_CHUNK, METADATA, TEXT_CHUNK
+from folia.session import materialise
 
 # Keys of the JSON record and the columns they hold.
 JSON_KEYS = {
@@ -84,6 +85,9 @@ def run_folder(path: str, run: str) -> str:
     return f"{path.rstrip('/')}/run={run}"
 
 
+_MANIFEST = "output_path string, file string, written_at long, run string"
+
+
 def _manifest(path: str) -> str:
     return f"{path.rstrip('/')}_manifest"
 
@@ -92,25 +96,30 @@ def write_results(processed: DataFrame, path: str, run: str) -> None:
     """Write one JSON record per document under ``path``, as the results of ``run``.
 
     Repeating a run replaces its own results. A manifest beside the records has the output
-    paths of each run and when they were written: the last one written counts, see
-    :func:`current_results`. The name of a run only serves to replace it.
+    paths of each run, the files they are in, and when they were written: the last one written
+    counts, see :func:`current_results`. The name of a run only serves to replace it.
     """
     flat = processed.select("output_path", record().alias("r")).select("output_path", "r.*")
-    flat.write.mode("overwrite").json(run_folder(path, run))
-    written = processed.select("output_path", F.lit(time.time_ns() // 1000).alias("written_at"))
+    folder = run_folder(path, run)
+    flat.write.mode("overwrite").json(folder)
+    written = processed.sparkSession.read.schema("output_path string").json(folder).select(
+        "output_path",
+        F.col("_metadata.file_name").alias("file"),
+        F.lit(time.time_ns() // 1000).alias("written_at"),
+    )
     written.write.mode("overwrite").parquet(f"{_manifest(path)}/run={run}")
 
 
 def current_results(spark: SparkSession, path: str) -> DataFrame:
     """For every output path the result written last.
 
-    Which run that was follows from the manifest alone; the records are read once.
+    Which run and file that is follows from the manifest alone; of all files ever written, only
+    those that hold such a result are read. The driver knows the names of these files.
     """
-    manifest = spark.read.schema("output_path string, written_at long, run string").parquet(
-        _manifest(path)
-    )
-    order = F.struct("written_at", "run")
-    last = manifest.groupBy("output_path").agg(F.max_by("run", order).alias("run"))
+    manifest = spark.read.schema(_MANIFEST).parquet(_manifest(path))
+    order = F.struct("written_at", "run", "file")
+    last = manifest.groupBy("output_path").agg(F.max_by(F.struct("run", "file"), order).alias("last"))
+    last = materialise(last.select("output_path", "last.*"), "last")
     schema = T.StructType(
         [
             T.StructField("output_path", T.StringType()),
@@ -119,7 +128,10 @@ def current_results(spark: SparkSession, path: str) -> DataFrame:
         ]
     )
     keys = ["output_path", "run"]
-    written = spark.read.schema(schema).json(path)
+    files = [f"{run_folder(path, r['run'])}/{r['file']}" for r in last.select("run", "file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], schema).select(*keys, *_renamed())
+    written = spark.read.schema(schema).option("basePath", path).json(files)
     return written.join(last, keys, "left_semi").select(*keys, *_renamed())
 
 

@@ -145,6 +145,23 @@ def test_results_round_trip_and_overwriting(spark, tmp_path):
     assert results.read_results(spark, path).count() == 2
 
 
+def test_only_files_with_current_results_are_read(spark, tmp_path):
+    """Ten runs over the same documents, one over others: two runs' files are opened."""
+    path = str(tmp_path / "results")
+    same = extracted(spark, *((f"a/{i}.pdf", f"text {i}", [], None) for i in range(6)))
+    for run in range(10):
+        batch.run_batch(same, path, run=f"same{run}")
+    batch.run_batch(extracted(spark, ("b/x.pdf", "x", [], None)), path, run="other")
+    current = results.current_results(spark, path)
+    runs_read = {f.split("run=")[1].split("/")[0] for f in current.inputFiles() if "run=" in f}
+    assert current.count() == 7 and runs_read - {"same9", "other"} == set()
+    records = [f for f in current.inputFiles() if f.startswith(f"file://{path}/")]
+    held = spark.read.json(path).where("output_path IS NOT NULL").select(F.col("_metadata.file_path").alias("f"), "run")
+    wanted = {r.f for r in held.where("run IN ('same9', 'other')").collect()}
+    assert {f.replace("file:///", "file:/") for f in records} == {f.replace("file:///", "file:/") for f in wanted}
+    assert results.current_results(spark, path).where("run = 'same9'").count() == 6
+
+
 def test_index_is_not_shuffled(spark, tmp_path):
     """A listing is joined with the index where the index lies."""
     path = str(tmp_path / "index")
