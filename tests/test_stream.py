@@ -1,13 +1,16 @@
 import base64
 import json
+import time
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from folia.plans import batch
 from folia.schemas import EXTRACTED, NOTIFICATION
 from folia.sources import results
-from folia.streaming import notifications as notes
+from folia.streaming import notifications as notes, retries
+from folia.streaming.retries import Retries
 
 BODY = {"kind": "storage#object", "name": "doc.pdf", "bucket": "raw", "contentType": "application/pdf"}
 
@@ -136,3 +139,91 @@ def test_streams_and_batches_on_one_folder(spark, tmp_path):
     write(tmp_path / "two", [message(name="b.pdf")], "again")
     run(spark, tmp_path, documents, "second", "two")
     assert current(spark, tmp_path)["results/b.json"] == "gs://raw/b.pdf"
+
+
+def until(query, done, seconds=180):
+    end = time.time() + seconds
+    while time.time() < end and not done():
+        assert query.exception() is None
+        time.sleep(1)
+    assert done()
+
+
+def test_retries(spark, tmp_path):
+    """One object comes at the third attempt, one never; no further message is needed."""
+    write(tmp_path / "in", [message(), message(name="late.pdf"), message(name="never.pdf"), message(name="no.txt")] * 2)
+    out, calls = str(tmp_path / "results"), []
+
+    def documents(spark):
+        tried = retries_of(spark, out, "late.pdf")
+        calls.append(tried)
+        return extracted(spark, "doc.pdf", *(["late.pdf"] if tried >= 2 else []))
+
+    def start():
+        return retries.start_with_retries(
+            notes.notification_stream(spark, str(tmp_path / "in")), documents, out, str(tmp_path / "checkpoint"),
+            retries=Retries(attempts=3, first=1.0, factor=1.5, settled=600.0), processingTime="1 second",
+        )
+
+    query = start()
+    until(query, lambda: retries_of(spark, out, "late.pdf") >= 1)
+    query.stop()
+    # The state and its timers outlive the query.
+    query = start()
+    until(query, lambda: retries.dead_letters(spark, out).count() == 1 and len(current(spark, tmp_path)) == 2)
+    query.stop()
+    assert set(current(spark, tmp_path)) == {"results/doc.json", "results/late.json"}
+    assert [tuple(r) for r in retries.dead_letters(spark, out).collect()] == [
+        ("failed/never.pdf.error.json", "gs://raw/never.pdf", "never.pdf", 3, "no extracted document")
+    ]
+    assert retries_of(spark, out, "late.pdf") == 2 and retries_of(spark, out, "never.pdf") == 3
+    assert retries.dead_letters(spark, out + "x").count() == 0
+
+
+def retries_of(spark, out, name):
+    failed = spark.read.schema("uri string, name string, error string").option("recursiveFileLookup", "true")
+    return failed.json(f"{out}_retries").where(f"name = '{name}'").count()
+
+
+class State:
+    """A state by hand."""
+
+    def __init__(self, value=None, timed_out=False):
+        self.value, self.hasTimedOut, self.timeout = value, timed_out, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, milliseconds):
+        self.timeout = milliseconds
+
+
+def steps(state, *events):
+    frame = pd.DataFrame([("a.pdf", e) for e in events], columns=["name", "error"]).astype(object)
+    frame = frame.where(frame.notna(), None)
+    found = retries.step(("gs://a.pdf",), iter([frame] if events else []), state, Retries(attempts=3, first=10, longest=15))
+    return [(r.attempts, r.dead, r.error) for f in found for r in f.itertuples()]
+
+
+def test_steps_of_an_object():
+    state = State()
+    assert steps(state, None, None) == [(1, False, None)] and state.timeout == 7_200_000
+    assert steps(state, "bad") == [] and state.value == (1, "a.pdf", True) and state.timeout == 10_000
+    state.hasTimedOut = True
+    assert steps(state) == [(2, False, None)]
+    state.hasTimedOut = False
+    assert steps(state, "bad") == [] and state.timeout == 15_000
+    # Announced again: from the beginning.
+    assert steps(state, None, "old") == [(1, False, None)] and state.value == (1, "a.pdf", False)
+    state.value = (3, "a.pdf", False)
+    assert steps(state, "worse") == [(3, True, "worse")] and not state.exists
+    # A failure of an object that is not known any more, and an object that has not failed.
+    assert steps(state, "late") == []
+    settled = State((1, "a.pdf", False), timed_out=True)
+    assert steps(settled) == [] and not settled.exists
