@@ -18,7 +18,7 @@ from folia.session import materialise, scratch_path
 from folia.sources import index, objects, results, vectors
 from folia.sources.spread import spread
 from folia.sources.vectorlog import VectorLog
-from folia.streaming import notifications as notes
+from folia.streaming import notifications as notes, retries
 
 Query = Callable[[SparkSession, str], DataFrame]
 SETTINGS = Settings()
@@ -1151,3 +1151,38 @@ def notify_stream(spark, sf_dir):
     )
     query.awaitTermination()
     return _flat_records(results.current_results(spark, f"{path}/results"))
+
+
+@register(
+    "notify_retries",
+    sql.with_ctes(
+        *sql.NOTIFICATIONS,
+        *sql.PROCESSED_CHUNKS,
+        """SELECT 'failed/' || name || '.error.json' AS path, source AS uri, name, 2 AS attempts, error
+        FROM processed WHERE error IS NOT NULL AND source IN (SELECT uri FROM accepted)""",
+    ),
+)
+def notify_retries(spark, sf_dir):
+    """The notifications as a stream that tries failed objects twice; its dead letters."""
+    static = views.events(spark, sf_dir)
+    arriving = (
+        spark.readStream.schema(static.schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    path = scratch_path(spark, "stream")
+    query = retries.start_with_retries(
+        views.notifications(arriving, views.files(spark, sf_dir)),
+        lambda session: views.extracted(session, sf_dir).drop("doc_id"),
+        f"{path}/results",
+        f"{path}/checkpoint",
+        retries=retries.Retries(attempts=2, first=0.1),
+        processingTime="1 second",
+    )
+    try:
+        # Every failure is followed by one more attempt, and that by a success or a dead letter.
+        while not query.recentProgress or retries.open_objects(spark, f"{path}/results"):
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    return retries.dead_letters(spark, f"{path}/results")

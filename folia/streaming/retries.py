@@ -22,7 +22,7 @@ from folia.functions.naming import dead_letter_path
 from folia.operators.documents import process, succeeded
 from folia.operators.runs import attach_extracted
 from folia.session import materialise
-from folia.sources.results import keep_path_winners, with_output_path, write_results
+from folia.sources.results import keep_path_winners, read_results, with_output_path, write_results
 from folia.streaming.notifications import accepted
 
 _EVENT = "uri string, name string, error string"
@@ -107,6 +107,15 @@ def dead_letters(spark: SparkSession, results_path: str) -> DataFrame:
     return found.select("path", "uri", "name", "attempts", "error")
 
 
+def open_objects(spark: SparkSession, results_path: str) -> int:
+    """How many objects have failed and neither succeeded nor become dead letters since."""
+    failures = spark.read.schema(_EVENT).option("recursiveFileLookup", "true").json(_folder(results_path, "retries"))
+    failed = failures.select("uri").distinct()
+    done = dead_letters(spark, results_path).select("uri")
+    written = read_results(spark, results_path).select(F.col("source").alias("uri"))
+    return failed.join(done.union(written), "uri", "left_anti").count()
+
+
 def process_steps(
     steps: DataFrame,
     batch_id: int,
