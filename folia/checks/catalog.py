@@ -1101,7 +1101,7 @@ def notify_unwrap(spark, sf_dir):
     "notify_decode",
     sql.with_ctes(
         *sql.NOTIFICATIONS,
-        f"SELECT event_id, '{views.BUCKET}' AS bucket, body_name AS name FROM decoded",
+        "SELECT event_id, body_bucket AS bucket, body_name AS name FROM decoded",
     ),
 )
 def notify_decode(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from folia.checks import views
 from folia.config import Settings
+from folia.functions.cleaning import PUNCTUATION
 
 SETTINGS = Settings()
 
@@ -67,15 +68,13 @@ def hyphen(x):
 
 
 def typography(x):
-    for old, new in (
-        ("\u201c", '"'), ("\u201d", '"'), ("\u2018", "'"), ("\u2019", "'"),
-        ("\u2013", "-"), ("\u2014", "--"), ("\u2026", "..."), ("\u00a0", " "),
-    ):
+    for old, new in PUNCTUATION.items():
         x = swap(x, old, new)
     return x
 
 
 def control(x):
+    # The control characters to drop.
     return sub(x, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 
@@ -108,6 +107,7 @@ def has_tables(x):
 
 
 def has_lists(x):
+    # What marks an item of a list.
     return (
         f"(regexp_matches({x}, '(?m)^{WS}*[-*•]{WS}')"
         f" OR regexp_matches({x}, '(?m)^{WS}*{D}+[.)]{WS}'))"
@@ -115,6 +115,7 @@ def has_lists(x):
 
 
 def has_numbers(x):
+    # An amount, a percentage, a number of four digits.
     return (
         rf"(regexp_matches({x}, '\${D}+[{D},]*\.?{D}*') OR regexp_matches({x}, '[{D},]+{WS}?%')"
         rf" OR regexp_matches({x}, '(^|{NOT_W}){D}{{4}}({NOT_W}|$)'))"
@@ -310,28 +311,47 @@ STORED = [
         chunk_index, content
     FROM chunks JOIN processed USING (doc_id) WHERE error IS NULL AND {is_pdf()})""",
 ]
+# The field of a body that is an object, of repeated keys the last; values hold no quotes here.
+def _field(key: str) -> str:
+    return (
+        f"CASE WHEN json_type(body) = 'OBJECT' THEN "
+        f"list_last(regexp_extract_all(body, '\"{key}\":\"([^\"]*)\"', 1)) END AS body_{key}"
+    )
+
+
 NOTIFICATIONS = [
     FILES,
-    f"""bodies AS (
+    f"""plain AS (
     SELECT event_id, event_type, name, '{{"kind":"storage#object","name":"' || name
         || '","bucket":"{views.BUCKET}","contentType":"application/pdf"}}' AS body
     FROM events JOIN files ON doc_id = user_id)""",
+    f"""bodies AS (
+    SELECT * EXCLUDE (body), CASE WHEN event_id % 100 IN (1, 24) THEN '[1]'
+        WHEN event_id % 100 = 21 THEN body || ' x'
+        WHEN event_id % 100 = 14 THEN '{views.REPEATED}' || substr(body, 2) ELSE body END AS body
+    FROM plain)""",
+    """encoded AS (
+    SELECT *, to_base64(CASE WHEN event_id % 100 = 31 THEN encode(body) || '\\xFF'::BLOB
+        ELSE encode(body) END) AS sent FROM bodies)""",
     f"""unwrapped AS (
-    SELECT event_id, body, name AS body_name,
-        CASE WHEN event_id % 10 = 5 THEN 'A' || base64(encode(body))
-            WHEN event_id % 20 = 7 THEN '' WHEN event_id % 10 = 7 THEN NULL
-            ELSE base64(encode(body)) END AS data,
+    SELECT event_id, CASE WHEN event_id % 10 = 5 THEN 'A' || sent
+            WHEN event_id % 20 = 7 THEN '' WHEN event_id % 10 = 7 THEN NULL ELSE sent END AS data,
         CASE WHEN event_id % 10 NOT IN (3, 4) THEN '{views.BUCKET}'
             WHEN event_id % 10 = 4 THEN '' END AS bucket_id,
         CASE WHEN event_id % 10 <> 3 THEN name END AS object_id,
         CASE WHEN event_id % 10 <> 3 THEN CASE WHEN event_type = 'error'
             THEN 'OBJECT_DELETE' ELSE 'OBJECT_FINALIZE' END END AS kind
-    FROM bodies)""",
-    "decoded AS (SELECT * FROM unwrapped WHERE event_id % 10 NOT IN (5, 7))",
-    f"""routed AS (
-    SELECT event_id, coalesce(nullif(bucket_id, ''), '{views.BUCKET}') AS bucket,
-        coalesce(nullif(object_id, ''), body_name) AS name, coalesce(kind, '') AS event_type
-    FROM decoded)""",
+    FROM encoded)""",
+    f"""decoded AS (
+    SELECT *, {_field("bucket")}, {_field("name")}
+    FROM (SELECT * EXCLUDE (data), try(decode(try(from_base64(nullif(data, ''))))) AS body FROM unwrapped)
+    WHERE body IS NOT NULL AND json_valid(body))""",
+    """routed AS (
+    SELECT event_id, coalesce(nullif(bucket_id, ''), nullif(body_bucket, '')) AS bucket,
+        coalesce(nullif(object_id, ''), nullif(body_name, '')) AS name, coalesce(kind, '') AS event_type
+    FROM decoded
+    WHERE coalesce(nullif(bucket_id, ''), nullif(body_bucket, '')) IS NOT NULL
+        AND coalesce(nullif(object_id, ''), nullif(body_name, '')) IS NOT NULL)""",
     f"""accepted AS (
     SELECT *, 'gs://' || bucket || '/' || name AS uri FROM routed
     WHERE event_type = 'OBJECT_FINALIZE' AND {is_pdf()})""",

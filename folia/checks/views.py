@@ -17,6 +17,8 @@ LISTED = ",\x01\x1f\x7f\n- item\n\n\n"
 BEFORE = "\u3000\n "
 AFTER = "\n7\n| a | b |\n| c | d |\n| e | f |\n| g | h |\n\n"
 FAILED = "extraction failed"
+# What a body with a repeated key starts with.
+REPEATED = '{"bucket":"elsewhere",'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,8 +126,18 @@ def notifications(events: DataFrame, listing: DataFrame) -> DataFrame:
             F.lit("application/pdf").alias("contentType"),
         )
     )
+    # Bodies of other kinds: no object, text after the value, a repeated key, and bad UTF-8.
+    other = event_id % 100
+    text = (
+        F.when(other.isin(1, 24), F.lit("[1]"))
+        .when(other == 21, F.concat(body, F.lit(" x")))
+        .when(other == 14, F.concat(F.lit(REPEATED), F.substr(body, F.lit(2))))
+        .otherwise(body)
+    )
+    raw = text.cast("binary")
+    raw = F.when(other == 31, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw)
     # Spark breaks Base64 text into lines, a message carries it in one.
-    encoded = F.regexp_replace(F.base64(body.cast("binary")), "\r\n", "")
+    encoded = F.regexp_replace(F.base64(raw), "\r\n", "")
     data = (
         F.when(kind == 5, F.concat(F.lit("A"), encoded))
         .when(kind == 7, F.when(event_id % 20 == 7, ""))

@@ -21,10 +21,8 @@ PUNCTUATION = {
     "\u00a0": " ",
 }
 
-# The control characters to drop, one by one for the engine's bit set.
-_CONTROLS = "".join(
-    rf"\x{code:02x}" for code in (*range(0x09), 0x0B, 0x0C, *range(0x0E, 0x20), 0x7F)
-)
+# The control characters to drop.
+_CONTROLS = r"\x00-\x08\x0b\x0c\x0e-\x1f\x7f"
 
 
 def unify_line_ends(text: Column) -> Column:
