@@ -16,7 +16,7 @@ from folia.plans import batch
 from folia.plans.scheduled import FilesFailed, run_scheduled
 from folia.schemas import EXTRACTED, LISTING
 from folia.session import scratch_path
-from folia.sources import index, objects, results
+from folia.sources import index, listing as listing_source, objects, results
 
 BUCKET = "gs://in/"
 LAYOUT = [("chunk_0", "First", 0, 1, ["block_1"]), ("chunk_1", "Second", 1, 2, ["block_2"])]
@@ -129,6 +129,31 @@ def test_list_objects(spark, tmp_path):
     assert (unknown.size, unknown.updated) == (0, "")
 
 
+def test_list_bucket(spark, tmp_path):
+    """Hidden names too; the start of names decides which folders are listed."""
+    names = ["_x.pdf", ".y.pdf", "a.pdf", "_pipeline/d.pdf", "docs/B.PDF", "docs/deep/_c/e.pdf", "docs2/f.txt", "d"]
+    for name in names:
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"123")
+    root = str(tmp_path / "in")
+    for uri in (root, f"file://{root}"):
+        for prefix in ("", "d", "docs", "docs/", "docs/d", "docs/deep/_c/e.pdf", "_", ".", "none/x", "docs/deep/x"):
+            found = listing_source.list_bucket(spark, uri, prefix).collect()
+            assert sorted(r.name for r in found) == sorted(n for n in names if n.startswith(prefix)), prefix
+            assert all(r.uri == f"{uri}/{r.name}" and r.size == 3 and r.updated for r in found)
+    with pytest.raises(Exception, match="not exist|No such|not found|FileNotFound"):
+        listing_source.list_bucket(spark, root + "x").collect()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        asked = objects.under_prefix(listing_source.list_bucket(spark, root), "docs/")
+        assert sorted(r.name for r in asked.collect()) == ["docs/B.PDF", "docs/deep/_c/e.pdf"]
+        assert asked.rdd.getNumPartitions() == 2
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    eligible = objects.without_control_files(objects.pdfs(listing_source.list_bucket(spark, root)))
+    assert {r.name for r in eligible.collect()} == {"_x.pdf", ".y.pdf", "a.pdf", "docs/B.PDF", "docs/deep/_c/e.pdf"}
+
+
 def test_results_round_trip_and_overwriting(spark, tmp_path):
     path = str(tmp_path / "results")
     documents = extracted(spark, ("a/x.pdf", "first", LAYOUT, None), ("b/x.pdf", "second", [], None))
