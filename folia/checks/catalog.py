@@ -741,22 +741,33 @@ def search_by_text_batch(spark, sf_dir):
     return _rounded(hits)
 
 
-@register(
-    "similarity_search_batch",
-    sql.with_ctes(
-        _VECTORS,
-        "queries AS (SELECT id AS query_id, embedding AS q FROM vectors WHERE id % 50 = 0)",
-        f"""ranked AS (SELECT query_id, id, similarity, row_number() OVER (
-            PARTITION BY query_id ORDER BY round(similarity, 9) DESC, id) AS rank
-        FROM (SELECT query_id, id, {_COSINE} AS similarity FROM queries, vectors))""",
-        "SELECT query_id, rank, id, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 10",
-    ),
+# All ids divisible by 50 as queries, against all vectors.
+_EVERY_FIFTIETH = sql.with_ctes(
+    _VECTORS,
+    "queries AS (SELECT id AS query_id, embedding AS q FROM vectors WHERE id % 50 = 0)",
+    f"""ranked AS (SELECT query_id, id, similarity, row_number() OVER (
+        PARTITION BY query_id ORDER BY round(similarity, 9) DESC, id) AS rank
+    FROM (SELECT query_id, id, {_COSINE} AS similarity FROM queries, vectors))""",
+    "SELECT query_id, rank, id, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 10",
 )
+
+
+def _every_fiftieth(table):
+    return table.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "embedding")
+
+
+@register("similarity_search_batch", _EVERY_FIFTIETH)
 def similarity_search_batch(spark, sf_dir):
-    """All ids divisible by 50 as queries, against all vectors; pivots leave out what they can."""
     table = views.vectors(spark, sf_dir)
-    queries = table.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "embedding")
-    return _rounded(pivots.search_by_pivots(table, queries))
+    return _rounded(search.search_many(table, _every_fiftieth(table)))
+
+
+@register("similarity_search_pivots", _EVERY_FIFTIETH)
+def similarity_search_pivots(spark, sf_dir):
+    """The same hits; cells and blocks that cannot hold one are left out."""
+    table = views.vectors(spark, sf_dir)
+    settings = pivots.Pivots(per_cell=100, block=32)
+    return _rounded(pivots.search_by_pivots(table, _every_fiftieth(table), settings=settings))
 
 
 ANN_LISTS, ANN_PROBES = 32, 12
@@ -802,7 +813,7 @@ def ann_recall(spark, sf_dir):
     table = views.vectors(spark, sf_dir)
     path = scratch_path(spark, "codes")
     quantised.build_quantised_index(table, path)
-    queries = table.where(F.col("id") % 50 == 0).select(F.col("id").alias("query_id"), "embedding")
+    queries = _every_fiftieth(table)
     found = quantised.quantised_search_many(spark, path, queries)
     measured = ann.recall(found, search.search_many(table, queries))
     share = F.lit(quantised.load_depth(spark, path).compared) / F.lit(table.count())

@@ -180,11 +180,14 @@ def search_by_pivots(
         return chosen
 
     first = _compared(blocks, _routed(asked, nearest, False), shared, top_k, vectors, queries, compared)
-    first = materialise(_ranked(first, top_k), "first")
-    bars = first.where(F.col("rank") == top_k).select("query_id", F.col("similarity").alias("bar"))
-    barred = asked.join(bars, "query_id")
-    second = _compared(blocks, _routed(barred, nearest, True), shared, top_k, vectors, queries, compared)
-    hits = _ranked(first.drop("rank").unionByName(second), top_k)
+    hits = _ranked(first, top_k)
+    # With one cell there is nothing further to ask for.
+    if len(pivots) > 1:
+        first = materialise(hits, "first")
+        bars = first.where(F.col("rank") == top_k).select("query_id", F.col("similarity").alias("bar"))
+        barred = asked.join(bars, "query_id")
+        second = _compared(blocks, _routed(barred, nearest, True), shared, top_k, vectors, queries, compared)
+        hits = _ranked(first.drop("rank").unionByName(second), top_k)
     zero = materialise(present.where(~F.exists("embedding", lambda x: x != 0)), "zero")
     if zero.isEmpty():
         return hits
