@@ -8,7 +8,7 @@ without personal data, packed into sequences.
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folia.llm import language, packing, pii, setjoin, suffixes
 from folia.session import materialise
@@ -16,8 +16,8 @@ from folia.session import materialise
 
 def confident_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that language identification rejects."""
-    told = language.identify(docs, language.train(docs))
-    return told.where(~F.col("lang_rejected")).select(*docs.columns)
+    told = language.identify(_wrapped(docs), language.train(docs))
+    return _unwrapped(told.where(~F.col("lang_rejected")), docs, F.col("text"))
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,8 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by the name of its kind."""
-    found = pii.find(docs, pii.train(docs), redact=True)
-    return _with_new_text(docs, found.withColumn("text", F.col("pii.redacted")))
+    found = pii.find(_wrapped(docs), pii.train(docs), redact=True)
+    return _with_new_text(docs, _unwrapped(found, docs, F.col("pii.redacted")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +41,18 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """The texts beside what else their documents hold, so that no names can clash."""
+    others = [c for c in docs.columns if c != "text"]
+    return docs.select("text", F.struct(*others).alias("document"))
+
+
+def _unwrapped(wrapped: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The documents again, with this text."""
+    columns = [text if c == "text" else F.col("document")[c] for c in docs.columns]
+    return wrapped.select(*(value.alias(c) for value, c in zip(columns, docs.columns)))
+
+
 def _with_new_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     """The columns of documents, with ``n_chars`` as long as the text is now."""
     columns = [F.col(c) for c in docs.columns if c != "n_chars"]

@@ -14,6 +14,14 @@ def with_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, *more)
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of the frame has."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def usable_vectors() -> Column:
     """True for vectors that are not NULL, not zero and all of finite numbers."""
     value = F.col("embedding")

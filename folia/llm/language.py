@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folia.llm.tokenids import as_text, text_slices
+from folia.llm.texts import as_text, text_slices
 
 UNDETERMINED = "und"
 

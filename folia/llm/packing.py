@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from folia.llm.frames import running_offsets, staged, with_text
-from folia.llm.tokenids import encoder, text_slices
+from folia.llm.texts import text_slices
+from folia.llm.tokenids import encoder
 
 
 @dataclass(frozen=True)

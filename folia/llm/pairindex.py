@@ -24,14 +24,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
 from folia.llm.frames import with_text
-from folia.llm.tokenids import (
-    REMEMBERED_WORDS,
-    WordMemory,
-    byte_letters,
-    plain_word,
-    slices,
-    text_slices,
-)
+from folia.llm.texts import slices, text_slices
+from folia.llm.tokenids import REMEMBERED_WORDS, WordMemory, byte_letters, plain_word
 
 # Bits of a symbol's id in the key of a pair.
 _BITS = 24

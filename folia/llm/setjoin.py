@@ -22,8 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from folia.llm.components import components
-from folia.llm.frames import staged, with_text
-from folia.llm.tokenids import as_text, text_slices
+from folia.llm.frames import fresh, staged, with_text
+from folia.llm.texts import as_text, text_slices
 
 _U = np.uint64
 
@@ -407,15 +407,16 @@ def one_of_each(docs: DataFrame, join: SetJoin = SetJoin()) -> DataFrame:
     by = decided.groupBy("doc_id", "text_hash").agg(
         F.max("kept").alias("kept"), F.count("*").alias("rows")
     )
-    gone = by.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    name, code, own = (fresh(docs, c) for c in ("_id", "_hash", "_text_hash"))
+    pair = [F.col("doc_id").alias(name), F.col("text_hash").alias(code)]
     hashed = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn("_text_hash", hashed)
-    matches = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    kept = rows.join(gone, matches, "left_anti")
+    rows = docs.withColumn(own, hashed)
+    matches = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.col(own) == F.col(code))
+    kept = rows.join(by.where(~F.col("kept")).select(*pair), matches, "left_anti")
     more = by.where(F.col("kept") & (F.col("rows") > 1))
     if more.isEmpty():
-        return kept.drop("_text_hash")
-    more = more.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        return kept.drop(own)
+    more = more.select(*pair)
     single = kept.join(more, matches, "left_anti")
-    twice = kept.join(more, matches, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return single.unionByName(twice).drop("_text_hash")
+    twice = kept.join(more, matches, "left_semi").dropDuplicates(["doc_id", own])
+    return single.unionByName(twice).drop(own)

@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from folia.llm.frames import staged, with_text
-from folia.llm.tokenids import text_slices
+from folia.llm.frames import fresh, staged, with_text
+from folia.llm.texts import text_slices
 
 _U = np.uint64
 # An anchor is a gram of this many bytes (a power of two).
@@ -520,12 +520,12 @@ def cut_documents(docs: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:
     texts stay NULL.
     """
     cut, _ = _cut(docs, repeats, keep_text=True, keep_untouched=False)
+    name, code, kept, own = (fresh(docs, c) for c in ("_id", "_crc", "_kept", "_own_crc"))
     changed = cut.where(F.col("n_removed") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_crc").alias("_crc"), F.col("kept_text").alias("_kept")
-    ).dropDuplicates(["_id", "_crc"])
-    crc = F.crc32(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"))
-    own = docs.withColumn("_own_crc", crc)
-    joined = own.join(
-        changed, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_crc") == F.col("_crc")), "left"
+        F.col("doc_id").alias(name), F.col("text_crc").alias(code), F.col("kept_text").alias(kept)
     )
-    return joined.withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
+    changed = changed.dropDuplicates([name, code])
+    crc = F.crc32(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"))
+    matches = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (F.col(own) == F.col(code))
+    joined = docs.withColumn(own, crc).join(changed, matches, "left")
+    return joined.withColumn("text", F.coalesce(kept, "text")).select(*docs.columns)

@@ -349,11 +349,33 @@ def test_pipeline(spark, words, plain):
     assert seen["pack"].groupby("sequence_id").length.sum().max() <= 1024
 
 
+def test_stages_keep_columns_of_any_name(spark, words):
+    """Names that the operators use themselves, NULL ids, repeated rows, and an empty table."""
+    names = "_id _hash _crc _kept _own_crc _text_hash pii lang_pred lang_score document kept spans set_id n id".split()
+    base = [(i, words(60, 500 + i)) for i in range(12)]
+    base += [(3, base[3][1]), (None, words(50, 600)), (None, words(50, 600)), (20, base[5][1]), (21, None), (None, None)]
+    rows = [(i, t, "en", "s", len(t or ""), *(f"{i} {k}" for k in names)) for i, t in base]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, "
+    docs = spark.createDataFrame(rows, columns + ", ".join(f"{n} string" for n in names))
+    for start in (docs, docs.limit(0)):
+        kept = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, kept, "")
+            assert out.columns == docs.columns, name
+            found = out.collect()
+            assert all([r[n] for n in names] == [f"{r['doc_id']} {k}" for k in names] for r in found), name
+            kept = spark.createDataFrame(found, out.schema)
+        ids = [r["doc_id"] for r in found]
+        assert sorted(ids, key=str) == ([] if start is not docs else sorted([*range(12), None], key=str))
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, "").collect()
+        assert {r["doc_id"] for r in packed} == set(ids)
+
+
 def test_registered():
     import __spark_entry__ as registry
 
     names = set(registry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")}
     assert "pipeline" in names
 
 
