@@ -6,6 +6,7 @@ the distinct words of a batch are looked up or encoded, and the ids are put toge
 array operations. The ids are those of encoding the whole text.
 """
 
+import gc
 import os
 import re
 from itertools import chain
@@ -15,7 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Words remembered per worker; beyond it the memory is emptied and filled anew.
+from folia.llm.texts import as_text
+
+# Words remembered per worker; beyond it the less frequent half is forgotten.
 REMEMBERED_WORDS = 500_000
 
 # A word of Latin-1 letters, perhaps followed by a run of other signs, is cut between the
@@ -26,13 +29,6 @@ FIRST = "\ud800"
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 
 
-def as_text(texts: pa.Array) -> pa.Array:
-    """A plain array of strings with 64-bit offsets and no NULL."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    return pc.fill_null(texts.cast(pa.large_string()), "")
-
-
 def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte.
 
@@ -63,6 +59,12 @@ class WordMemory:
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and the number of each."""
+        found = self._encode_words(words)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()), lengths
+
     def _spelt(self, word: str) -> str:
         """What a remembered word stands for: with a space before it, or at a text's start."""
         if word[:1] == FIRST:
@@ -84,10 +86,17 @@ class WordMemory:
         self._batches = np.zeros(0, np.int32)
 
     def _forget(self) -> None:
-        """Keep the words that several batches had, so that the memory stays bounded."""
-        kept = np.flatnonzero(self._batches > 1)
-        if len(kept) > REMEMBERED_WORDS // 2:
-            kept = kept[:0]
+        """Keep the words that most batches had, so that the memory stays bounded.
+
+        At most half of the memory is kept, and no word of a single batch. Counts are
+        halved, so that words which were frequent long ago make room for others.
+        """
+        seen = self._batches
+        kept = np.flatnonzero(seen > 1)
+        most = REMEMBERED_WORDS // (2 * self._shares)
+        if len(kept) > most:
+            order = np.argsort(-seen[kept], kind="stable")
+            kept = np.sort(kept[order[:most]])
         words = list(self._place)
         ids = [self._ids[self._starts[k] : self._starts[k + 1]] for k in kept]
         odd = self._odd[kept]
@@ -96,18 +105,27 @@ class WordMemory:
         self._starts = np.append(0, np.cumsum([len(i) for i in ids])).astype(np.int64)
         self._ids = np.concatenate([self._ids, *ids])
         self._odd = odd
-        self._batches = np.ones(len(kept), np.int32)
+        self._batches = seen[kept] // 2
 
     def _places(self, words: list[str]) -> np.ndarray:
         """Where the ids of each word stand."""
+        # Many small lists are made and soon gone; the collector would go through all of them.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._found_places(words)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _found_places(self, words: list[str]) -> np.ndarray:
         place = self._place
         missing = list(dict.fromkeys([w for w in words if w not in place]))
         if missing:
-            found = self._encode_words(missing)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            more, lengths = self._encode_all(missing)
             place.update(zip(missing, range(len(place), len(place) + len(missing))))
-            more = np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum())
-            odd = [self._is_odd(w) for w in missing]
+            # Most words are letters and signs, which are quickly told.
+            odd = [not w.isalnum() and self._is_odd(w) for w in missing]
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(lengths)])
             self._ids = np.concatenate([self._ids, more])
             self._odd = np.concatenate([self._odd, odd])
@@ -136,10 +154,13 @@ class WordMemory:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if len(self._place) > REMEMBERED_WORDS // self._shares:
             self._forget()
+        if not self._spaces:
+            # Where white space is dropped, a line break is as good a border as a space.
+            texts = pc.replace_substring(texts, "\n", " ")
         pieces = pc.split_pattern(texts, " ")
         borders = pieces.offsets.to_numpy().astype(np.int64)
         words = pieces.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         indices = words.indices.to_numpy()
         own = self._places(distinct)
         self._batches[own] += 1
@@ -180,7 +201,9 @@ class WordMemory:
 class WordEncoder(WordMemory):
     """Encodes texts with a tokenizers file.
 
-    With ``spaces`` it is a byte-level one; without, letters are lower-cased.
+    With ``spaces`` it is a byte-level one; without, letters are lower-cased. Words are mostly
+    letters with a few signs after them; these parts are remembered too, as they recur in more
+    words, and the vocabulary's merges see each of them once.
     """
 
     def __init__(self, path: str, spaces: bool):
@@ -190,41 +213,55 @@ class WordEncoder(WordMemory):
         # Names of special tokens in a text are ordinary text.
         self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
-        self._parts: dict[str, tuple[int, ...]] = {}
         self._table = byte_letters()
-
-    def _part(self, text: str) -> list[int]:
-        """Ids of one part that the vocabulary's pattern does not cut further."""
-        if self._spaces:
-            word = text[1:] if text[0] == " " else FIRST + text
-        else:
-            word = text
-        place = self._place.get(word)
-        # Mostly the part has been a word of its own.
-        if place is not None:
-            return self._ids[self._starts[place] : self._starts[place + 1]].tolist()
-        found = self._parts.get(text)
-        if found is None:
-            mapped = text.encode("utf-8").decode("latin-1").translate(self._table)
-            found = self._parts[text] = tuple(t.id for t in self._model.tokenize(mapped))
-        return list(found)
-
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        self._clear_parts()
+
+    def _clear_parts(self) -> None:
+        # No signs are no ids.
+        self._parts: dict[str, int] = {"": 0}
+        self._part_starts = np.zeros(2, np.int64)
+        self._part_ids = np.zeros(0, np.uint32)
+
+    def _part_places(self, texts: list[str]) -> np.ndarray:
+        """Which remembered part each text is; the vocabulary's pattern does not cut them."""
+        known = self._parts
+        new = list(dict.fromkeys([t for t in texts if t not in known]))
+        if new:
+            # Parts hold no line break.
+            mapped = "\n".join(new).encode("utf-8").decode("latin-1").translate(self._table)
+            tokenize = self._model.tokenize
+            found = [[t.id for t in tokenize(x)] for x in mapped.split(self._table[10])]
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            ends = self._part_starts[-1] + np.cumsum([len(ids) for ids in found])
+            self._part_starts = np.concatenate([self._part_starts, ends])
+            more = np.fromiter(chain.from_iterable(found), np.uint32)
+            self._part_ids = np.concatenate([self._part_ids, more])
+        return np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+
+    def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._parts) > REMEMBERED_WORDS // 2:
-            self._parts = {}
-        found: list[list[int] | None] = []
-        rest: list[str] = []
-        for word in map(self._spelt, words):
-            plain = plain_word(word)
-            if plain is None:
-                rest.append(word)
-                found.append(None)
-                continue
-            letters = plain[0] if self._spaces else plain[0].lower()
-            ids = self._part(letters)
-            found.append(ids + self._part(plain[1]) if plain[1] else ids)
-        others = iter(self._tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        return [next(others).ids if ids is None else ids for ids in found]
+            self._clear_parts()
+        spelt = list(map(self._spelt, words))
+        plain = list(map(_PLAIN.fullmatch, spelt))
+        simple = [i for i, match in enumerate(plain) if match]
+        letters = [plain[i][1] for i in simple]
+        if not self._spaces:
+            letters = [text.lower() for text in letters]
+        # Two parts of each word; a word that is not so simple is one part of its own.
+        parts = np.zeros((len(words), 2), np.int64)
+        parts[simple, 0] = self._part_places(letters)
+        parts[simple, 1] = self._part_places([plain[i][2] for i in simple])
+        others = [i for i, match in enumerate(plain) if not match]
+        texts = [spelt[i] for i in others]
+        alone = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        parts[others, 0] = len(self._parts) + np.arange(len(others))
+        starts = np.concatenate([self._part_starts, self._part_starts[-1] + np.cumsum([len(x) for x in alone], dtype=np.int64)])
+        ids = np.concatenate([self._part_ids, np.fromiter(chain.from_iterable(alone), np.uint32)])
+        flat = parts.reshape(-1)
+        lengths = np.diff(starts)[flat]
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts[flat] - ends + lengths, lengths) + np.arange(lengths.sum())
+        return ids[at], lengths.reshape(-1, 2).sum(axis=1)
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
@@ -236,20 +273,3 @@ def encoder(path: str, spaces: bool) -> WordEncoder:
     if key not in _ENCODERS:
         _ENCODERS[key] = WordEncoder(path, spaces)
     return _ENCODERS[key]
-
-
-def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int):
-    """Parts of a batch whose rows' sizes sum up to about ``limit``, or single large rows."""
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < batch.num_rows:
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
-def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20):
-    """Parts of a batch holding about ``limit`` bytes of text, or a single long text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    return slices(batch, sizes, limit)
