@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folia.llm.frames import running_offsets, with_text
-from folia.llm.tokenids import encoder, text_slices
+from folia.llm.texts import text_slices
+from folia.llm.tokenids import encoder
 from folia.session import scratch_path
 
 BLOCK = 1024
@@ -41,13 +42,11 @@ def _fitting(values: np.ndarray) -> np.ndarray:
 
     ``values`` has a block in each row, padded by zeros, which fit everywhere.
     """
-    bits = np.zeros(values.shape, np.int8)
-    for width in range(1, 61):
-        over = values >= np.uint64(1) << np.uint64(width - 1)
-        if not over.any():
-            break
-        bits[over] = width
-    bits[values >= np.uint64(1) << np.uint64(60)] = 64
+    # A float's exponent tells the bits of whole numbers that it holds exactly.
+    bits = np.frexp(values.astype(np.float64))[1].astype(np.int8)
+    for row, column in zip(*np.nonzero(bits > 52)):
+        bits[row, column] = int(values[row, column]).bit_length()
+    bits[bits > 60] = 64
     chosen = np.full(values.shape, ESCAPE, np.int8)
     # widest[:, i] is the most bits of `span` ids from i on; spans double.
     widest, spans = {1: bits}, 1
