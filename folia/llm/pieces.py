@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
 from folia.llm.frames import with_text
-from folia.llm.tokenids import FIRST, REMEMBERED_WORDS, WordMemory, as_text, text_slices
+from folia.llm.texts import as_text, text_slices
+from folia.llm.tokenids import FIRST, REMEMBERED_WORDS, WordMemory
 
 _U = np.uint64
 # The sign that stands for a space in pieces.
@@ -75,6 +76,17 @@ class Vocabulary:
         order = np.argsort(keys)
         self.keys, self.made = keys[order], np.array(made, np.int64)[order]
         self.pairs = dict(zip(self.keys.tolist(), self.made.tolist()))
+        # Pieces that merges can make of characters, from the short to the long.
+        made_of: dict[str, int] = {}
+        for piece in sorted(self.ids, key=len):
+            cuts = range(1, len(piece))
+            if len(piece) == 1 or any(piece[:c] in made_of and piece[c:] in made_of for c in cuts):
+                made_of[piece] = self.ids[piece]
+        self.reached = {piece: own for piece, own in made_of.items() if len(piece) > 1}
+        # Beginnings of such pieces that are none themselves.
+        for piece in list(self.reached):
+            for end in range(2, len(piece)):
+                self.reached.setdefault(piece[:end], -1)
         values = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(pieces, special)]
         for byte, own in self.byte_ids.items():
             values[own] = bytes([byte])
@@ -185,32 +197,28 @@ class PieceEncoder(WordMemory):
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         """What is remembered of words: candidates, or the cut where none is skipped."""
-        rows = self._symbols(list(map(self._spelt, words)))
+        spelt = list(map(self._spelt, words))
         if self._drops:
-            return list(map(self.candidates, rows))
-        return self._cut(rows, np.full(len(rows), self._key))
+            return list(map(self.candidates, spelt))
+        return self._cut(self._symbols(spelt), np.full(len(spelt), self._key))
 
-    def candidates(self, word: list[int]) -> list[int]:
-        """All merges that a word can come to, whatever is skipped, as place and piece."""
-        n, size = len(word), self.vocabulary.symbols
-        if n > _SHORT:
+    def candidates(self, word: str) -> list[int]:
+        """All merges that a word can come to, whatever is skipped, as place and piece.
+
+        These are its parts that merges of characters can make, wherever they stand.
+        """
+        n, reached = len(word), self.vocabulary.reached.get
+        # The sign for a space is no piece where it stands for itself.
+        if n > _SHORT or SPACE in word:
             return [_ALONE]
-        pairs, found = self.vocabulary.pairs, []
-        # By start and end: the symbol of that part, if merges can make it.
-        parts = [{i + 1: s} if s < size else {} for i, s in enumerate(word)]
-        for start in range(n - 2, -1, -1):
-            own, ends = parts[start], [start + 1]
-            # Parts that end later come later.
+        text, found = word.replace(" ", SPACE), []
+        for start in range(n - 1):
             for end in range(start + 2, n + 1):
-                for middle in ends:
-                    left, right = own.get(middle), parts[middle].get(end)
-                    if left is not None and right is not None:
-                        made = pairs.get(left * size + right)
-                        if made is not None:
-                            own[end] = made
-                            ends.append(end)
-                            found.append(start << _PIECE_BITS | made)
-                            break
+                made = reached(text[start:end])
+                if made is None:
+                    break
+                if made >= 0:
+                    found.append(start << _PIECE_BITS | made)
         return found if len(found) <= _MASK_BITS else [_ALONE]
 
     def _cut(self, rows: list[list[int]], keys: np.ndarray) -> list[list[int]]:
@@ -232,7 +240,8 @@ class PieceEncoder(WordMemory):
         pieces = pc.split_pattern(texts, " ")
         borders = pieces.offsets.to_numpy().astype(np.int64)
         words = pieces.flatten().dictionary_encode()
-        distinct, indices = words.dictionary.to_pylist(), words.indices.to_numpy()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        indices = words.indices.to_numpy()
         own = self._places(distinct)
         self._batches[own] += 1
         places = own[indices]
