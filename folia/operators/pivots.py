@@ -28,8 +28,9 @@ from folia.session import materialise
 
 # Cosines closer than this may tie once they are rounded.
 _SLACK = 2e-9
-# Queries that meet a block together.
+# Queries that meet a block together, and blocks of a cell that meet them in a task.
 _QUERIES = 128
+_BLOCKS = 512
 
 
 @dataclass(frozen=True)
@@ -272,4 +273,12 @@ def _compared(
             )
 
     output = T.StructType([query_type, id_type, T.StructField("similarity", T.DoubleType())])
-    return blocks.join(routed, "cell").mapInArrow(score, output)
+    # A query's vector is in the group of every cell it goes to. The files hold it once, so their size
+    # says nothing of the groups, which must not be gathered in one place: both sides are shuffled.
+    # Large cells are dealt to several tasks; one row per cell is counted.
+    sizes = blocks.groupBy("cell").agg(F.ceil(F.count("*") / _BLOCKS).cast("int").alias("slices"))
+    dealt = blocks.join(F.broadcast(sizes), "cell")
+    dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("ids"), F.col("slices")).cast("int")).drop("slices")
+    groups = routed.join(F.broadcast(sizes), "cell")
+    groups = groups.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    return dealt.join(groups.hint("merge"), ["cell", "slice"]).drop("slice").mapInArrow(score, output)

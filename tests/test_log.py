@@ -267,3 +267,16 @@ def test_pivots_of_odd_vectors(spark):
         same_hits(spark, rows, asked, top_k, Pivots(per_cell=1, block=1))
     same_hits(spark, rows[1:3], asked, 2, Pivots())
     same_hits(spark, rows, asked[2:], 2, Pivots())
+
+
+def test_pivots_shuffle_their_groups(spark):
+    # The groups hold a query's vector once for each cell: they never pass through the driver.
+    rows = np.random.default_rng(9).normal(size=(400, 8)).tolist()
+    table = spark.createDataFrame(list(enumerate(rows)), "id long, embedding array<float>")
+    queries = table.where("id % 5 = 0").withColumnRenamed("id", "query_id")
+    hits = pivots.search_by_pivots(table, queries, 5, Pivots(8, 20, 4))
+    compared = hits.select("query_id")._jdf.queryExecution().executedPlan().toString().split("MapInArrow", 1)[1]
+    assert compared.index("SortMergeJoin") < compared.index("Broadcast")
+    named = ["query_id", "rank", "id"]
+    exact = search.search_many(table, queries, 5)
+    assert sorted(hits.select(*named).collect()) == sorted(exact.select(*named).collect())
