@@ -11,6 +11,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from folia.checks.catalog import QUERIES
 from folia.config import Settings
 from folia.functions.hashing import hash_embedding
 from folia.functions.vectors import cosine_similarity
@@ -293,3 +294,9 @@ def test_dense_ids_with_a_hot_key(spark):
     frame = spark.range(3000).select((F.col("id") % 3 * 0).alias("hot"), F.col("id").alias("n"))
     rows = with_dense_ids(frame.repartition(6), ["hot", "n"], 11).collect()
     assert {r.n: r.id for r in rows} == {n: n + 11 for n in range(3000)}
+
+
+def test_ann_recall_says_what_the_lists_find(spark):
+    found = QUERIES["ann_recall"](spark, "/root/testdata/sf0.001").first()
+    assert found.queries == 10 and 0 < found.recall < 1
+    assert found.found_enough and found.read_few
