@@ -102,3 +102,17 @@ def test_metadata_record(spark, apply):
     }
     for missing in (F.lit(None).cast("string"), F.lit("")):
         assert apply(lambda text: meta.metadata(text, missing), ["x"])[0].filename == "unknown"
+
+
+def test_words_and_lines_are_counted_by_batches(spark):
+    text = meta.metadata(F.col("text"), F.lit("a.pdf"))
+    frame = spark.createDataFrame([("The x |\r\n|\n|\x1c|\n",), ("",)], "text string")
+    counted = frame.select(text.alias("m")).select("m.*")
+    assert "ArrowEvalPython" in counted._jdf.queryExecution().executedPlan().toString()
+    first, second = (tuple(r)[2:5] for r in counted.select("filename", "char_count", "word_count", "line_count", "has_tables").collect())
+    assert first == (6, 5, True) and second == (0, 0, False)
+
+
+def test_steps_without_a_sign_leave_the_text(apply):
+    assert apply(cleaning.squeeze_blanks, ["a b", "a\tb", "a  b", None]) == ["a b", "a b", "a b", None]
+    assert "contains" in str(cleaning.squeeze_newlines(F.col("text")))
