@@ -300,3 +300,20 @@ def test_ann_recall_says_what_the_lists_find(spark):
     found = QUERIES["ann_recall"](spark, "/root/testdata/sf0.001").first()
     assert found.queries == 10 and 0 < found.recall < 1
     assert found.found_enough and found.read_few
+
+
+def test_embedding_counts_batches_of_words(spark):
+    from folia.functions import hashing
+
+    texts = ["", "a b a", "Straße ΣΑΣ ΑΣ", "İstanbul I", "x" * 50, None, *(chr(i) + "A b" + chr(i) for i in range(0x250))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    picked = F.transform(hashing.tokens(F.col("text")), lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % 16)
+    made = frame.select("text", picked.alias("picked"), hash_embedding(F.col("text"), 16).alias("vector"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan
+    for row in made.collect():
+        if row.text is None:
+            assert row.vector is None
+            continue
+        counts = np.bincount(row.picked, minlength=16) if row.picked else np.zeros(16)
+        assert row.vector == pytest.approx((counts / max(1, np.sqrt((counts * counts).sum()))).astype(np.float32).tolist(), abs=0)
