@@ -150,13 +150,12 @@ def _renamed() -> list[Column]:
 
 def result_chunks(results: DataFrame) -> DataFrame:
     """One row per text chunk; a chunk without an index takes its position."""
-    exploded = results.select(
-        "source",
-        "filename",
-        F.to_json(stamped_metadata()).alias("metadata"),
-        F.posexplode("text_chunks").alias("position", "chunk"),
-    )
-    return exploded.select(
+    # Once for each document: what stands beside a generator is computed for each of its rows.
+    told = results.select("source", "filename", F.to_json(stamped_metadata()).alias("metadata"), "text_chunks")
+    # Without "outer", a filter on the number of chunks is pushed below and processes every text again.
+    chunk = F.posexplode_outer("text_chunks").alias("position", "chunk")
+    exploded = told.select("source", "filename", "metadata", chunk)
+    return exploded.where(F.col("position").isNotNull()).select(
         "source",
         "filename",
         F.coalesce("chunk.chunk_index", "position").alias("chunk_index"),

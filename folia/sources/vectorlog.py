@@ -70,7 +70,9 @@ class VectorLog:
         base = self.log.state()
         stored = self.table(base) if dedupe else None
         rows = vector_rows(chunks, settings.embedding_dimensions, 0, stored, embed)
-        rows = materialise(rows, "append")
+        if embed is not None:
+            # A model's step runs once; the feature hash is not worth a second copy of all vectors.
+            rows = materialise(rows, "append")
         number = rows.count()
         _, reserved = self.log.commit(
             lambda state: {"kind": "reserve", "first_id": state.next_id, "rows": number}

@@ -400,3 +400,12 @@ def test_attach_extracted(spark):
     assert (outcome["b.pdf"].error, outcome["c.pdf"].error) == ("bad", NOT_EXTRACTED)
     summary = runs.run_summary(runs.outcomes(processed)).first()
     assert summary[:] == (3, 1, 2)
+
+
+def test_chunks_are_cut_once(spark):
+    """The chunks of documents are exploded without a filter that processes the texts as well."""
+    documents = spark.createDataFrame([("gs://b/a.pdf", "a.pdf", "One. Two.", [], None), ("gs://b/e.pdf", "e.pdf", "", [], None)], EXTRACTED)
+    chunks = results.result_chunks(batch.process_prefix(documents))
+    plan = chunks._jdf.queryExecution().optimizedPlan()
+    assert "size(" not in "".join(line for line in plan.toString().splitlines() if "Filter" in line)
+    assert [(r.source, r.chunk_index, r.content) for r in chunks.collect()] == [("gs://b/a.pdf", 0, "One. Two.")]
