@@ -31,8 +31,11 @@ _CONTROLS = r"\x00-\x08\x0b\x0c\x0e-\x1f\x7f"
 
 
 def _where(text: Column, sign: Callable[[Column], Column], step: Callable[[Column], Column]) -> Column:
-    """``step`` for the texts with the sign; the others stay as they are."""
-    return let(text, lambda t: F.when(sign(t), step(t)).otherwise(t))
+    """``step`` for the texts with the sign; the others stay as they are.
+
+    Bytes that are no UTF-8 are a sign as well: a regex replaces them.
+    """
+    return let(text, lambda t: F.when(sign(t) | ~F.is_valid_utf8(t), step(t)).otherwise(t))
 
 
 def unify_line_ends(text: Column) -> Column:

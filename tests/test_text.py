@@ -116,3 +116,9 @@ def test_words_and_lines_are_counted_by_batches(spark):
 def test_steps_without_a_sign_leave_the_text(apply):
     assert apply(cleaning.squeeze_blanks, ["a b", "a\tb", "a  b", None]) == ["a b", "a b", "a b", None]
     assert "contains" in str(cleaning.squeeze_newlines(F.col("text")))
+
+
+def test_bytes_that_are_no_text_are_replaced(spark):
+    broken = spark.sql("SELECT CAST(X'61FF62' AS STRING) AS text")
+    for step in (cleaning.squeeze_blanks, cleaning.squeeze_newlines, cleaning.rejoin_hyphens):
+        assert broken.select(F.hex(step(F.col("text")))).first()[0] == "61EFBFBD62"
