@@ -3,19 +3,21 @@
 A word starts as its characters. An agenda holds the candidate merges of neighbours, the
 best-scored first and of equal ones the leftmost; each candidate may be skipped, as a hash
 of the seed, the document, the word's position in it, the place and the merged piece tells.
-So every occurrence of a word is cut for itself. What is remembered of a word are all the
-candidates it can ever have, and its cuts by which of these are skipped; a document is told
-by a hash of its id and text. Characters without a piece become byte pieces.
+So every occurrence of a word is cut for itself. What is remembered of a word are the merges
+its agenda takes when none is skipped, and the cut they give. Candidates that are never taken
+change nothing when they are skipped: an occurrence that skips none of these merges has this
+cut, and any other one has an agenda of its own. A document is told by a hash of its id and
+text. Characters without a piece become byte pieces.
 
-Short words of a batch share one agenda step at a time as rows of arrays; long ones have a
+Short words of a batch share one agenda step at a time as columns of arrays; long ones have a
 heap each. Both take the same merges.
 """
 
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -33,12 +35,17 @@ _U = np.uint64
 SPACE = "▁"
 # Longer words get an agenda of their own.
 _SHORT = 32
-_NO_PIECE = 1 << 40
-# Candidates are remembered as place and piece; words with more candidates than bits of a
-# mask, and long ones, are cut anew each time.
-_PIECE_BITS, _MASK_BITS = 27, 40
+# Words whose agendas go side by side.
+_ABREAST = 8_192
+# A candidate is one number: rank, row of the left symbol, merged piece; beyond all, none.
+_RANK_BITS, _ROW_BITS = 40, 32
+_NONE = 1 << 62
+# Before and after a word, and where a symbol is merged away. Both merge with nothing.
+_EDGE, _GONE = 1 << 30, (1 << 30) + 1
+# Merges are remembered as place and piece. Long words have an agenda at each occurrence.
+_PIECE_BITS = 27
 _ALONE = 0xFFFFFFFF
-# Candidates looked at in one go.
+# Merges looked at in one go; an eighth as many words are cut in one go.
 _AT_ONCE = 1_000_000
 
 
@@ -72,21 +79,13 @@ class Vocabulary:
                     lefts.append(left)
                     rights.append(right)
                     made.append(own)
-        keys = np.array(lefts, np.int64) * size + np.array(rights, np.int64)
-        order = np.argsort(keys)
-        self.keys, self.made = keys[order], np.array(made, np.int64)[order]
-        self.pairs = dict(zip(self.keys.tolist(), self.made.tolist()))
-        # Pieces that merges can make of characters, from the short to the long.
-        made_of: dict[str, int] = {}
-        for piece in sorted(self.ids, key=len):
-            cuts = range(1, len(piece))
-            if len(piece) == 1 or any(piece[:c] in made_of and piece[c:] in made_of for c in cuts):
-                made_of[piece] = self.ids[piece]
-        self.reached = {piece: own for piece, own in made_of.items() if len(piece) > 1}
-        # Beginnings of such pieces that are none themselves.
-        for piece in list(self.reached):
-            for end in range(2, len(piece)):
-                self.reached.setdefault(piece[:end], -1)
+        left, right, piece = (np.array(x, np.int64) for x in (lefts, rights, made))
+        self.pairs = dict(zip((left * size + right).tolist(), made))
+        self._fill(left << 32 | right, self.rank[piece] << _RANK_BITS | piece)
+        # The symbol of each code point.
+        self.symbol_of = np.arange(size, size + sys.maxunicode + 1)
+        for char in [" ", *(p for p in self.ids if len(p) == 1)]:
+            self.symbol_of[ord(char)] = self.symbol(char)
         values = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(pieces, special)]
         for byte, own in self.byte_ids.items():
             values[own] = bytes([byte])
@@ -94,11 +93,36 @@ class Vocabulary:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(values), np.uint8)
 
+    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """A hash table of all merges; what meets a full slot takes the next free one."""
+        bits = len(keys).bit_length() + 2
+        self._shift = _U(64 - bits)
+        self._slots = np.full((1 << bits) + len(keys) + 1, -1, np.int64)
+        self._merges = np.full(len(self._slots), _NONE, np.int64)
+        slots = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self._slots[slots] < 0)
+            first = free[np.unique(slots[free], return_index=True)[1]]
+            self._slots[slots[first]], self._merges[slots[first]] = keys[first], values[first]
+            keys, values, slots = (np.delete(x, first) for x in (keys, values, slots + 1))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(_U) * _U(0x9E3779B97F4A7C15) >> self._shift).view(np.int64)
+
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that each two symbols make, or -1."""
-        keys = np.where((left < self.symbols) & (right < self.symbols), left * self.symbols + right, -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.made[at], -1)
+        """The candidates that each two symbols make, without a row, or ``_NONE``."""
+        keys = left << 32 | right
+        slots = self._slot(keys)
+        there = self._slots.take(slots)
+        found = np.where(there == keys, self._merges.take(slots), _NONE)
+        on = np.flatnonzero((there != keys) & (there >= 0))
+        while len(on):
+            slots[on] += 1
+            there = self._slots.take(slots[on])
+            hit = there == keys[on]
+            found[on[hit]] = self._merges.take(slots[on[hit]])
+            on = on[~hit & (there >= 0)]
+        return found
 
     def symbol(self, char: str) -> int:
         """The piece of a character; without one, a number beyond all pieces."""
@@ -120,12 +144,24 @@ class Vocabulary:
                 out += [self.byte_ids[b] for b in raw]
         return out
 
+    def spelt_rows(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words one after the other, with the number of symbols of each."""
+        beyond = np.flatnonzero(symbols >= self.symbols)
+        if not len(beyond):
+            return symbols, counts
+        chars, of_char = np.unique(symbols[beyond], return_inverse=True)
+        raw = [self.spelt([c]) for c in chars.tolist()]
+        sizes = np.array([len(r) for r in raw])
+        starts, lengths = np.arange(len(symbols)), np.ones(len(symbols), np.int64)
+        starts[beyond] = len(symbols) + (np.cumsum(sizes) - sizes)[of_char]
+        lengths[beyond] = sizes[of_char]
+        ends = np.append(0, np.cumsum(lengths))
+        ids = np.concatenate([symbols, *raw])[_spans(starts, lengths)]
+        return ids, np.diff(ends[np.append(0, np.cumsum(counts))])
+
     def decoded(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of ids, the leading space of each text included."""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        return self.bytes[at]
+        return self.bytes[_spans(self.starts[ids], self.lengths[ids])]
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -138,6 +174,12 @@ def vocabulary(path: str) -> Vocabulary:
     return _VOCABULARIES[path]
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
@@ -161,16 +203,6 @@ class PieceEncoder(WordMemory):
     def _text_keys(self, keys: np.ndarray) -> np.ndarray:
         return _mixed(self._seed + keys.astype(np.int64).view(_U))
 
-    def _clear(self) -> None:
-        super()._clear()
-        self._clear_cuts()
-
-    def _clear_cuts(self) -> None:
-        # By word and mask of skipped candidates.
-        self._cuts: dict[int, int] = {}
-        self._cut_starts = np.zeros(1, np.int64)
-        self._cut_ids = np.zeros(0, np.uint32)
-
     # A text starts as if a space stood before it.
     def _spelt(self, word: str) -> str:
         first = word[:1] == FIRST
@@ -191,49 +223,52 @@ class PieceEncoder(WordMemory):
         mixed = own + place.astype(_U) * _U(0x9E3779B97F4A7C15)
         return _mixed(mixed ^ (piece.astype(_U) * _U(0xD6E8FEB86659FD93))) < self._limit
 
-    def _symbols(self, words: list[str]) -> list[list[int]]:
-        symbol = {c: self.vocabulary.symbol(c) for c in set("".join(words))}
-        return [[symbol[c] for c in word] for word in words]
+    def _symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words one after the other, and the number of each."""
+        raw = "".join(words).encode("utf-32-le", "surrogatepass")
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        return self.vocabulary.symbol_of[np.frombuffer(raw, "<u4")], lengths
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """What is remembered of words: candidates, or the cut where none is skipped."""
-        spelt = list(map(self._spelt, words))
-        if self._drops:
-            return list(map(self.candidates, spelt))
-        return self._cut(self._symbols(spelt), np.full(len(spelt), self._key))
+    def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What is remembered of words.
 
-    def candidates(self, word: str) -> list[int]:
-        """All merges that a word can come to, whatever is skipped, as place and piece.
-
-        These are its parts that merges of characters can make, wherever they stand.
+        With dropout these are the numbers of merges (or ``_ALONE``) and of symbols, the merges
+        taken when none is skipped, the symbols, and the ids that the merges give.
         """
-        n, reached = len(word), self.vocabulary.reached.get
-        # The sign for a space is no piece where it stands for itself.
-        if n > _SHORT or SPACE in word:
-            return [_ALONE]
-        text, found = word.replace(" ", SPACE), []
-        for start in range(n - 1):
-            for end in range(start + 2, n + 1):
-                made = reached(text[start:end])
-                if made is None:
-                    break
-                if made >= 0:
-                    found.append(start << _PIECE_BITS | made)
-        return found if len(found) <= _MASK_BITS else [_ALONE]
-
-    def _cut(self, rows: list[list[int]], keys: np.ndarray) -> list[list[int]]:
-        """Words of symbols, each with its key."""
-        found: list[list[int]] = [[]] * len(rows)
-        for low, high in ((1, 8), (9, 16), (17, _SHORT)):
-            at = [i for i, r in enumerate(rows) if low <= len(r) <= high]
-            for part in range(0, len(at), 20_000):
-                own = at[part : part + 20_000]
-                for i, ids in zip(own, self.by_rows([rows[i] for i in own], keys[own])):
-                    found[i] = ids
-        for i, row in enumerate(rows):
-            if len(row) > _SHORT:
-                found[i] = self.by_heap(row, keys[i])
-        return found
+        symbols, counts = self._symbols(list(map(self._spelt, words)))
+        if not self._drops:
+            ids, lengths = self._cut(symbols, counts, np.full(len(words), self._key))
+            return ids.astype(np.uint32), lengths
+        short = counts <= _SHORT
+        spans = _spans((np.cumsum(counts) - counts)[short], counts[short])
+        kept, left, taken, steps = self.by_columns(symbols[spans], counts[short])
+        kept, left = self.vocabulary.spelt_rows(kept, left)
+        merges, ids = np.zeros((2, len(words)), np.int64)
+        merges[short], ids[short] = steps, left
+        lengths = 2 + merges + counts + ids
+        heads = np.cumsum(lengths) - lengths
+        found = np.empty(lengths.sum(), np.uint32)
+        found[heads] = np.where(short, merges, _ALONE)
+        found[heads + 1] = counts
+        found[_spans(heads + 2, merges)] = taken
+        found[_spans(heads + 2 + merges, counts)] = symbols
+        found[_spans(heads + 2 + merges + counts, ids)] = kept
+        return found, lengths
+
+    def _cut(self, symbols: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of symbols, each with its key, and the number of each."""
+        starts = np.cumsum(counts) - counts
+        short, apart = counts <= _SHORT, np.flatnonzero(counts > _SHORT)
+        spans = _spans(starts[short], counts[short])
+        kept, left, _, _ = self.by_columns(symbols[spans], counts[short], keys[short])
+        kept, left = self.vocabulary.spelt_rows(kept, left)
+        if not len(apart):
+            return kept, left
+        long = [self.by_heap(symbols[starts[i] : starts[i] + counts[i]].tolist(), keys[i]) for i in apart]
+        lengths, begin = np.zeros((2, len(counts)), np.int64)
+        lengths[short], lengths[apart] = left, [len(ids) for ids in long]
+        begin[short], begin[apart] = np.cumsum(left) - left, len(kept) + np.cumsum(lengths[apart]) - lengths[apart]
+        return np.concatenate([kept, *long])[_spans(begin, lengths)], lengths
 
     def _placed(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The remembered place of each word of texts, and where each text starts."""
@@ -255,27 +290,20 @@ class PieceEncoder(WordMemory):
             borders = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int64)
         return places, borders
 
-    def _masks(self, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Which of its candidates each word skips, as bits."""
-        starts, lengths = self._starts[places], np.diff(self._starts)[places]
-        ends = np.cumsum(lengths)
-        masks = np.zeros(len(places), _U)
+    def _skipping(self, starts: np.ndarray, merges: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether each word skips some of its remembered merges, which start there."""
+        ends = np.cumsum(merges)
+        found = np.zeros(len(merges), bool)
         low = 0
-        while low < len(places):
+        while low < len(merges):
             base = ends[low - 1] if low else 0
             high = max(low + 1, int(np.searchsorted(ends, base + _AT_ONCE, side="right")))
-            n = lengths[low:high]
-            begin = np.cumsum(n) - n
-            bit = np.arange(n.sum()) - np.repeat(begin, n)
-            codes = self._ids[np.repeat(starts[low:high], n) + bit]
-            own = np.repeat(np.arange(low, high), n)
+            codes = self._ids[_spans(starts[low:high], merges[low:high])]
+            own = np.repeat(np.arange(low, high), merges[low:high])
             piece = codes & np.uint32((1 << _PIECE_BITS) - 1)
-            on = self.skipped(keys[own], codes >> np.uint32(_PIECE_BITS), piece)
-            # Sums of powers of two below 2 ** 53 are exact.
-            sums = np.bincount(own[on] - low, np.ldexp(1.0, bit[on] % _MASK_BITS), high - low)
-            masks[low:high] = sums.astype(_U)
+            found[own[self.skipped(keys[own], codes >> np.uint32(_PIECE_BITS), piece)]] = True
             low = high
-        return masks
+        return found
 
     def encode(self, texts: pa.Array, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text starts (one more at the end).
@@ -289,92 +317,106 @@ class PieceEncoder(WordMemory):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if len(self._place) > REMEMBERED_WORDS:
             self._forget()
-        if len(self._cuts) > REMEMBERED_WORDS:
-            self._clear_cuts()
         places, borders = self._placed(texts)
         of_text = np.full(len(texts), self._key) if keys is None else self._text_keys(keys)
         counts = np.diff(borders)
         position = np.arange(len(places)) - np.repeat(borders[:-1], counts)
         own = _mixed(np.repeat(of_text, counts) + position.astype(_U) * _U(0xA24BAED4963EE407))
-        cuts, starts, ids = self._cuts_of(places, own)
-        lengths = np.diff(starts)[cuts]
+        heads = self._starts[places]
+        merges, symbols = (self._ids[heads + i].astype(np.int64) for i in (0, 1))
+        alone = merges == _ALONE
+        merges[alone] = 0
+        starts = heads + 2 + merges + symbols
+        lengths = self._starts[places + 1] - starts
+        again = np.flatnonzero(alone | self._skipping(heads + 2, merges, own))
+        source, end = [self._ids], len(self._ids)
+        for low in range(0, len(again), _AT_ONCE // 8):
+            part = again[low : low + _AT_ONCE // 8]
+            spans = _spans(starts[part] - symbols[part], symbols[part])
+            ids, cut = self._cut(self._ids[spans].astype(np.int64), symbols[part], own[part])
+            source.append(ids.astype(np.uint32))
+            starts[part], lengths[part] = end + np.cumsum(cut) - cut, cut
+            end += len(ids)
         ends = np.append(0, np.cumsum(lengths))
-        at = np.repeat(starts[cuts] - ends[:-1], lengths) + np.arange(ends[-1])
-        return ids[at], ends[borders]
-
-    def _cuts_of(self, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A number for the cut of each word, and starts and ids of the cuts by number."""
-        single = np.diff(self._starts) == 1
-        single[single] = self._ids[self._starts[:-1][single]] == _ALONE
-        alone = single[places]
-        apart, rest = np.flatnonzero(alone), np.flatnonzero(~alone)
-        masked = (places[rest].astype(_U) << _U(_MASK_BITS)) | self._masks(places[rest], keys[rest])
-        distinct, first, back = np.unique(masked, return_index=True, return_inverse=True)
-        known = distinct.tolist()
-        missing = [i for i, k in enumerate(known) if k not in self._cuts]
-        new = rest[first[missing]] if missing else np.zeros(0, np.int64)
-        words = list(self._place)
-        rows = self._symbols([self._spelt(words[places[i]]) for i in chain(new, apart)])
-        found = self._cut(rows, keys[np.concatenate([new, apart])])
-        before = len(self._cuts)
-        self._cuts.update((known[i], before + n) for n, i in enumerate(missing))
-        kept, extra = found[: len(new)], found[len(new) :]
-        self._cut_starts, self._cut_ids = _longer(self._cut_starts, self._cut_ids, kept)
-        cuts = np.empty(len(places), np.int64)
-        number = np.fromiter(map(self._cuts.__getitem__, known), np.int64, len(known))
-        cuts[rest] = number[back]
-        cuts[apart] = len(self._cut_starts) - 1 + np.arange(len(apart))
-        return cuts, *_longer(self._cut_starts, self._cut_ids, extra)
+        return np.concatenate(source)[_spans(starts, lengths)], ends[borders]
 
     def by_rows(self, words: list[list[int]], keys: np.ndarray | None = None) -> list[list[int]]:
-        """Words side by side: each step takes the best merge of every word."""
-        if not words:
-            return []
-        vocabulary, n, width = self.vocabulary, len(words), max(map(len, words))
-        lengths = np.array([len(w) for w in words])
-        symbols = np.full((n, width + 1), -1, np.int64)
-        for i, word in enumerate(words):
-            symbols[i, : len(word)] = word
-        keys = np.full(n, self._key) if keys is None else keys
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
-        # Candidates by the place of their left symbol: merged piece, and rank or infinity.
-        piece = np.full((n, width + 1), -1, np.int64)
-        rank = np.full((n, width + 1), _NO_PIECE, np.int64)
-
-        def propose(rows: np.ndarray, left: np.ndarray) -> None:
-            right = after[rows, left]
-            valid = (left >= 0) & (right < lengths[rows])
-            rank[rows[left >= 0], left[left >= 0]] = _NO_PIECE
-            rows, left, right = rows[valid], left[valid], right[valid]
-            made = vocabulary.merged(symbols[rows, left], symbols[rows, right])
-            good = made >= 0
-            good[good] = ~self.skipped(keys[rows[good]], left[good], made[good])
-            piece[rows[good], left[good]] = made[good]
-            rank[rows[good], left[good]] = vocabulary.rank[made[good]]
-
-        grid = np.indices((n, width)).reshape(2, -1)
-        propose(grid[0], grid[1])
-        active = np.arange(n)
-        while len(active):
-            best = rank[active].argmin(axis=1)
-            going = rank[active, best] < _NO_PIECE
-            active, best = active[going], best[going]
+        """The ids of words given as lists of symbols."""
+        counts = np.array([len(w) for w in words], np.int64)
+        symbols = np.array([s for word in words for s in word], np.int64)
+        ids, lengths = self._cut(symbols, counts, np.full(len(words), self._key) if keys is None else keys)
+        flat, ends = ids.tolist(), np.cumsum(lengths).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def by_columns(
+        self, symbols: np.ndarray, counts: np.ndarray, keys: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols left of short words, and the number of each.
+
+        Without keys nothing is skipped, and the merges taken and their numbers follow.
+        """
+        starts = np.cumsum(counts) - counts
+        order = np.argsort(counts, kind="stable")
+        parts = []
+        for low in range(0, len(order), _ABREAST):
+            own = order[low : low + _ABREAST]
+            spans = _spans(starts[own], counts[own])
+            parts.append(self._abreast(symbols[spans], counts[own], None if keys is None else keys[own]))
+        none = np.zeros(0, np.int64)
+        kept, left, taken, steps = (np.concatenate([none, *x]) for x in (zip(*parts) if parts else [()] * 4))
+        back = np.argsort(order)
+        kept = kept[_spans((np.cumsum(left) - left)[back], left[back])]
+        taken = taken[_spans((np.cumsum(steps) - steps)[back], steps[back])]
+        return kept, left[back], taken, steps[back]
+
+    def _abreast(self, symbols, counts, keys) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words side by side, a column each: every step takes the best merge of each word."""
+        n, rows = len(counts), int(counts.max()) + 2
+        columns = np.repeat(np.arange(n), counts)
+        symbol = np.full(rows * n, _EDGE, np.int64)
+        symbol[_spans(np.ones(n, np.int64), counts) * n + columns] = symbols
+        after, before = np.arange(n, rows * n + n), np.arange(-n, rows * n - n)
+        # By the place of the left symbol.
+        agenda = np.full((rows, n), _NONE, np.int64)
+        candidates = agenda.reshape(-1)
+
+        def propose(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+            found, row = self.vocabulary.merged(left, right), at // n
+            if keys is not None:
+                good = np.flatnonzero(found < _NONE)
+                own = keys[at[good] - row[good] * n]
+                piece = found[good] & ((1 << _ROW_BITS) - 1)
+                found[good[self.skipped(own, row[good] - 1, piece)]] = _NONE
+            candidates[at] = found | row << _ROW_BITS
+
+        grid = np.arange(n, rows * n - n)
+        propose(grid, symbol[grid], symbol[grid + n])
+        steps = []
+        while True:
+            best = agenda.min(axis=0)
+            active = np.flatnonzero(best < _NONE)
             if not len(active):
                 break
-            gone = after[active, best]
-            symbols[active, best] = piece[active, best]
-            symbols[active, gone] = -1
-            rank[active, gone] = _NO_PIECE
-            following = after[active, gone]
-            after[active, best] = following
-            inside = following <= width
-            before[active[inside], following[inside]] = best[inside]
-            propose(active, best)
-            propose(active, before[active, best])
-        kept = symbols >= 0
-        flat, ends = symbols[kept].tolist(), np.cumsum(kept.sum(axis=1)).tolist()
-        return [vocabulary.spelt(flat[a:b]) for a, b in zip([0, *ends], ends)]
+            best = best[active]
+            row, made = best >> _ROW_BITS & ((1 << _RANK_BITS - _ROW_BITS) - 1), best & ((1 << _ROW_BITS) - 1)
+            at = row * n + active
+            gone = after[at]
+            following, previous = after[gone], before[at]
+            symbol[at], symbol[gone], candidates[gone] = made, _GONE, _NONE
+            after[at], before[following] = following, at
+            propose(
+                np.concatenate([previous, at]),
+                np.concatenate([symbol[previous], made]),
+                np.concatenate([made, symbol[following]]),
+            )
+            if keys is None:
+                steps.append(np.full(n, -1))
+                steps[-1][active] = (row - 1) << _PIECE_BITS | made
+        cells = symbol.reshape(rows, n).T
+        kept = cells < _EDGE
+        taken = np.stack(steps, axis=1) if steps else np.zeros((n, 0), np.int64)
+        there = taken >= 0
+        return cells[kept], kept.sum(axis=1), taken[there], there.sum(axis=1)
 
     def by_heap(self, word: list[int], key: np.uint64 | None = None) -> list[int]:
         """One word of any length."""
@@ -411,13 +453,6 @@ class PieceEncoder(WordMemory):
         return vocabulary.spelt([s for s in symbols if s >= 0])
 
 
-def _longer(starts: np.ndarray, ids: np.ndarray, more: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ids with further cuts at their end."""
-    lengths = np.fromiter(map(len, more), np.int64, len(more))
-    added = np.fromiter(chain.from_iterable(more), np.uint32, lengths.sum())
-    return np.concatenate([starts, starts[-1] + np.cumsum(lengths)]), np.concatenate([ids, added])
-
-
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 

@@ -181,6 +181,57 @@ def test_remembered_cuts_are_those_of_the_agenda(words, monkeypatch):
             assert ids[ends[k] : ends[k + 1]].tolist() == expected, text
 
 
+def plain_cut(encoder, word, key):
+    """The best candidate that is not skipped, over and over."""
+    values = encoder.vocabulary
+    symbols = [(at, values.symbol(c)) for at, c in enumerate(word)]
+    while True:
+        found = []
+        for n, ((at, left), (_, right)) in enumerate(zip(symbols, symbols[1:])):
+            made = values.pairs.get(left * values.symbols + right) if max(left, right) < values.symbols else None
+            if made and not encoder.skipped(np.array([key]), np.array([at]), np.array([made]))[0]:
+                found.append((values.rank[made], n, made))
+        if not found:
+            return values.spelt([s for _, s in symbols])
+        _, n, made = min(found)
+        symbols[n : n + 2] = [(symbols[n][0], made)]
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.6])
+def test_each_occurrence_has_the_cut_of_a_plain_agenda(words, rate):
+    encoder = pieces.PieceEncoder(PIECES, pieces.Dropout(rate, seed=3))
+    long = ["international" * 2 + "x" * n for n in range(4, 8)]
+    texts = [" ".join(["the nation", "a▁b 中文字 naïve", *long, words(20, s)]) for s in range(8)]
+    ids, ends = encoder.encode(pa.array(texts), np.arange(8))
+    for k, text in enumerate(texts):
+        key, expected = encoder._text_keys(np.array([k])), []
+        for at, word in enumerate(text.split(" ")):
+            own = pieces._mixed(key + np.array([at]).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+            expected += plain_cut(encoder, f" {word}", own[0])
+        assert ids[ends[k] : ends[k + 1]].tolist() == expected
+
+
+def test_only_merges_that_are_taken_are_looked_at(words):
+    """A word's agenda runs again only where it skips one of them."""
+    encoder, text = pieces.PieceEncoder(PIECES, pieces.Dropout(0.01)), words(5000, 1)
+    looked, skipped = [], encoder.skipped
+    encoder.skipped = lambda own, place, piece: (looked.append(len(piece)), skipped(own, place, piece))[1]
+    ids, _ = encoder.encode(pa.array([text]))
+    # Every merge makes one symbol less.
+    assert sum(looked) < 1.5 * (len(text) + 1 - len(ids))
+
+
+def test_merges_are_found_in_the_table():
+    values = pieces.vocabulary(PIECES)
+    left, right = (np.array(x) for x in zip(*(divmod(k, values.symbols) for k in values.pairs)))
+    found = values.merged(left, right)
+    assert (found & (1 << 32) - 1).tolist() == list(values.pairs.values())
+    assert (found >> 40 == values.rank[found & (1 << 32) - 1]).all()
+    other = np.random.default_rng(1).integers(0, values.symbols + 9, (2, 100_000))
+    there = [a < values.symbols > b and a * values.symbols + b in values.pairs for a, b in other.T.tolist()]
+    assert ((values.merged(*other) < pieces._NONE) == there).all()
+
+
 def test_empty_tables(spark, empty, tmp_path):
     assert packing.pack(empty, BYTES).count() == 0
     path = str(tmp_path / "none")
